@@ -4,63 +4,142 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+TEXT, LONG, DOUBLE, BOOL = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
+DATE, STAMP = T.DateType(), T.TimestampNTZType()
+CREDITS = T.DecimalType(38, 9)
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
-QUERY_HISTORY = _schema(
-    "query_id string, query_text string, database_name string, schema_name string, "
-    "warehouse_name string, warehouse_size string, user_name string, role_name string, "
-    "execution_status string, query_tag string, start_time timestamp_ntz, end_time timestamp_ntz, "
-    "total_elapsed_time bigint, rows_produced bigint, bytes_scanned bigint, "
-    "percentage_scanned_from_cache double, bytes_spilled_to_local_storage bigint, "
-    "bytes_spilled_to_remote_storage bigint, rows_inserted bigint, partitions_scanned bigint, "
-    "partitions_total bigint, execution_time bigint, error_code string, error_message string, "
-    "compilation_time bigint, queued_overload_time bigint"
+
+QUERY_HISTORY = _table(
+    query_id=TEXT,
+    query_text=TEXT,
+    database_name=TEXT,
+    schema_name=TEXT,
+    warehouse_name=TEXT,
+    warehouse_size=TEXT,
+    user_name=TEXT,
+    role_name=TEXT,
+    execution_status=TEXT,
+    query_tag=TEXT,
+    start_time=STAMP,
+    end_time=STAMP,
+    total_elapsed_time=LONG,
+    rows_produced=LONG,
+    bytes_scanned=LONG,
+    percentage_scanned_from_cache=DOUBLE,
+    bytes_spilled_to_local_storage=LONG,
+    bytes_spilled_to_remote_storage=LONG,
+    rows_inserted=LONG,
+    partitions_scanned=LONG,
+    partitions_total=LONG,
+    execution_time=LONG,
+    error_code=TEXT,
+    error_message=TEXT,
+    compilation_time=LONG,
+    queued_overload_time=LONG,
+)
+WAREHOUSE_METERING = _table(
+    warehouse_name=TEXT,
+    start_time=STAMP,
+    end_time=STAMP,
+    credits_used=CREDITS,
+    credits_used_compute=CREDITS,
+    credits_used_cloud_services=CREDITS,
+)
+ACCESS_HISTORY = _table(
+    query_id=TEXT,
+    query_start_time=STAMP,
+    objects_modified=T.ArrayType(_table(objectName=TEXT, objectDomain=TEXT)),
+)
+AUTOCLUSTERING_HISTORY = _table(
+    table_id=LONG,
+    table_name=TEXT,
+    schema_name=TEXT,
+    database_name=TEXT,
+    start_time=STAMP,
+    end_time=STAMP,
+    credits_used=CREDITS,
+    num_bytes_reclustered=LONG,
+    num_rows_reclustered=LONG,
+)
+LOGIN_HISTORY = _table(
+    event_timestamp=STAMP,
+    user_name=TEXT,
+    is_success=TEXT,
+)
+RAW_USERS = _table(
+    user_id=LONG,
+    signup_date=DATE,
+    country=TEXT,
+    plan=TEXT,
+    status=TEXT,
 )
-WAREHOUSE_METERING = _schema(
-    "warehouse_name string, start_time timestamp_ntz, end_time timestamp_ntz, "
-    "credits_used decimal(38,9), credits_used_compute decimal(38,9), "
-    "credits_used_cloud_services decimal(38,9)"
+RAW_TRANSACTIONS = _table(
+    transaction_id=LONG,
+    user_id=LONG,
+    purchase_date=DATE,
+    amount=T.DecimalType(10, 2),
 )
-ACCESS_HISTORY = _schema(
-    "query_id string, query_start_time timestamp_ntz, "
-    "objects_modified array<struct<objectName:string,objectDomain:string>>"
+CUSTOMER_EVENTS = _table(
+    value=_table(event_id=TEXT, customer_id=LONG, event_type=TEXT, event_timestamp=STAMP, metadata=_table(channel=TEXT, amount=T.DecimalType(10, 2))),
 )
-AUTOCLUSTERING_HISTORY = _schema(
-    "table_id bigint, table_name string, schema_name string, database_name string, "
-    "start_time timestamp_ntz, end_time timestamp_ntz, credits_used decimal(38,9), "
-    "num_bytes_reclustered bigint, num_rows_reclustered bigint"
+USER_ACTIVITY_LOG = _table(
+    action_id=LONG,
+    action_type=TEXT,
+    user_name=TEXT,
+    performed_by=TEXT,
+    role_used=TEXT,
+    env=TEXT,
+    domain=TEXT,
+    role_assigned=TEXT,
+    object_type=TEXT,
+    grants_detail=TEXT,
+    comment=TEXT,
+    action_timestamp=STAMP,
 )
-LOGIN_HISTORY = _schema("event_timestamp timestamp_ntz, user_name string, is_success string")
-RAW_USERS = _schema("user_id bigint, signup_date date, country string, plan string, status string")
-RAW_TRANSACTIONS = _schema(
-    "transaction_id bigint, user_id bigint, purchase_date date, amount decimal(10,2)"
+COST_CENTERS = _table(
+    cost_center_code=TEXT,
+    cost_center_name=TEXT,
+    domain=TEXT,
+    department=TEXT,
+    budget_monthly_credits=T.DecimalType(12, 2),
+    owner_email=TEXT,
+    is_active=BOOL,
+    created_at=STAMP,
+    updated_at=STAMP,
 )
-CUSTOMER_EVENTS = _schema(
-    "value struct<event_id:string,customer_id:bigint,event_type:string,"
-    "event_timestamp:timestamp_ntz,metadata:struct<channel:string,amount:decimal(10,2)>>"
+WAREHOUSE_COST_CONFIG = _table(
+    warehouse_name=TEXT,
+    domain=TEXT,
+    cost_center_code=TEXT,
+    credit_price_usd=T.DecimalType(10, 4),
+    alert_threshold_pct=T.DecimalType(5, 2),
+    is_active=BOOL,
+    created_at=STAMP,
+    updated_at=STAMP,
 )
-USER_ACTIVITY_LOG = _schema(
-    "action_id bigint, action_type string, user_name string, performed_by string, "
-    "role_used string, env string, domain string, role_assigned string, object_type string, "
-    "grants_detail string, comment string, action_timestamp timestamp_ntz"
+QUERY_TAG_RULES = _table(
+    tag_pattern=TEXT,
+    domain=TEXT,
+    cost_center_code=TEXT,
+    pipeline_name=TEXT,
+    description=TEXT,
+    is_active=BOOL,
+    created_at=STAMP,
 )
-COST_CENTERS = _schema(
-    "cost_center_code string, cost_center_name string, domain string, department string, "
-    "budget_monthly_credits decimal(12,2), owner_email string, is_active boolean, "
-    "created_at timestamp_ntz, updated_at timestamp_ntz"
+USER_ROLES = _table(
+    user=TEXT,
+    role=TEXT,
 )
-WAREHOUSE_COST_CONFIG = _schema(
-    "warehouse_name string, domain string, cost_center_code string, "
-    "credit_price_usd decimal(10,4), alert_threshold_pct decimal(5,2), is_active boolean, "
-    "created_at timestamp_ntz, updated_at timestamp_ntz"
+ROLE_EDGES = _table(
+    role=TEXT,
+    inherits=TEXT,
 )
-QUERY_TAG_RULES = _schema(
-    "tag_pattern string, domain string, cost_center_code string, pipeline_name string, "
-    "description string, is_active boolean, created_at timestamp_ntz"
+OBJECT_TAGS = _table(
+    object_name=TEXT,
+    tag_name=TEXT,
+    tag_value=TEXT,
 )
-USER_ROLES = _schema("user string, role string")
-ROLE_EDGES = _schema("role string, inherits string")
-OBJECT_TAGS = _schema("object_name string, tag_name string, tag_value string")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from usagelens import schemas as S
 from usagelens.functions.temporal import dateadd, trunc_ts
 from usagelens.plans.access import DOMAIN_PREFIXES, ENV_SUFFIXES
+from usagelens.streaming.ingest import stream_events
 
 AS_OF = datetime(2024, 1, 31, 1, 30)
 
@@ -53,12 +54,24 @@ def _pick(index: Column, values) -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
 
 
+def with_k(events: DataFrame) -> DataFrame:
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").withColumn("k", k)
+    return with_k(table(spark, sf_dir, "events"))
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return with_k(stream_events(spark, sf_dir, schema, glob="events.parquet"))
 
 
 def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries_of(events(spark, sf_dir))
+
+
+def queries_of(frame: DataFrame) -> DataFrame:
     k, value, user = F.col("k"), F.col("value"), F.col("user_id")
     kind = F.col("event_type")
     millis = F.when(k % 3 == 0, (k * 100).cast("long")).otherwise(
@@ -83,9 +96,16 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("ANALYST")
     )
     loaded = F.when(kind.isin("signup", "view") & (k % 4 != 0), k).otherwise(0).cast("long")
-    base = events(spark, sf_dir).select(
-        "k", "ts", "value", "user_id", "event_type", F.concat(F.lit("q"), "event_id").alias("query_id"),
-        millis.alias("exec_ms"), scanned.alias("scanned"), status.alias("execution_status"),
+    base = frame.select(
+        "k",
+        "ts",
+        "value",
+        "user_id",
+        "event_type",
+        F.concat(F.lit("q"), "event_id").alias("query_id"),
+        millis.alias("exec_ms"),
+        scanned.alias("scanned"),
+        status.alias("execution_status"),
     )
     return base.select(
         "query_id",
@@ -189,7 +209,11 @@ def autoclustering_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def login_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return logins_of(table(spark, sf_dir, "events"))
+
+
+def logins_of(frame: DataFrame) -> DataFrame:
+    return frame.select(
         F.col("ts").alias("event_timestamp"),
         F.concat(F.lit("U"), (F.col("user_id") % 7).cast("string")).alias("user_name"),
         F.when(F.col("event_type").isin("error", "click"), "NO").otherwise("YES").alias("is_success"),
@@ -339,3 +363,70 @@ def query_tag_rules(spark: SparkSession) -> DataFrame:
     ]
     schema = "tag_pattern string, domain string, cost_center_code string, pipeline_name string, is_active boolean"
     return spark.createDataFrame(rows, schema)
+
+
+def places() -> Column:
+    """Domain x environment combinations in a fixed order, numbered from 0."""
+    combos = [(d, e) for d in DOMAIN_PREFIXES for e in ENV_SUFFIXES]
+    return F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.lit(d).alias("domain"), F.lit(e).alias("env"))
+            for i, (d, e) in enumerate(combos)
+        ]
+    )
+
+
+def desired_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted levels for three quarters of each customer's places."""
+    turn = (F.col("c_custkey") + F.col("place.i")) % 4
+    return (
+        table(spark, sf_dir, "customer")
+        .select("c_custkey", F.explode(places()).alias("place"))
+        .where(turn < 3)
+        .select(
+            F.concat(F.lit("U"), "c_custkey").alias("user"),
+            "place.domain",
+            "place.env",
+            _pick(turn, ("none", "select", "all")).alias("level"),
+        )
+    )
+
+
+def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
+    return events(spark, sf_dir).select(
+        F.col("event_id").alias("action_id"),
+        _pick(k % 3, ("CREATE_USER", "UPDATE_GRANTS", "DISABLE_USER")).alias("action_type"),
+        F.concat(F.lit("U"), (F.col("user_id") % 5).cast("string")).alias("user_name"),
+        F.lit("OPERATOR").alias("performed_by"),
+        F.lit("SYSADMIN").alias("role_used"),
+        _pick(F.floor(k / 3) % 3, tuple(ENV_SUFFIXES)).alias("env"),
+        _pick(k % 8, tuple(DOMAIN_PREFIXES)).alias("domain"),
+        F.concat(F.lit("ROLE_"), (k % 11).cast("string")).alias("role_assigned"),
+        F.when(k % 2 == 0, "DATABASE").otherwise("WAREHOUSE").alias("object_type"),
+        F.lit("{}").alias("grants_detail"),
+        F.concat(F.lit("entry "), "event_id").alias("comment"),
+        F.col("ts").alias("action_timestamp"),
+    )
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("sale_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("sale_date"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("amount"),
+    )
+
+
+def landing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change records per user: the payload, when it was synced, whether it deletes."""
+    return events(spark, sf_dir).select(
+        F.col("user_id").alias("id"),
+        F.col("event_type").alias("country"),
+        F.col("value").alias("score"),
+        F.col("ts").alias("updated_at"),
+        F.col("event_id").alias("seq"),
+        (F.col("k") % 13 == 0).alias("is_deleted"),
+        F.col("ts").alias("ingested_at"),
+    )
