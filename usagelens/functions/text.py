@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,6 +52,20 @@ def parse_json(text: Column) -> Column:
     return F.parse_json(text)
 
 
+def constant_rows(names: Sequence[str], rows: Iterable[Sequence[str | int]]) -> Column:
+    """Constant array of structs, stated as one expression rather than a call per value."""
+
+    def literal(value: str | int) -> str:
+        if isinstance(value, int):
+            return f"{value}L"
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    structs = (
+        ", ".join(f"'{name}', {literal(value)}" for name, value in zip(names, row)) for row in rows
+    )
+    return F.expr(f"array({', '.join(f'named_struct({body})' for body in structs)})")
+
+
 # In-row array operations: run these before exploding, so less data is multiplied.
 
 def keep(items: Column, condition: Callable[[Column], Column]) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.functions.temporal import at
-from usagelens.functions.text import user_names
+from usagelens.functions.text import constant_rows, user_names
 from usagelens.session import ensure_checkpoint_dir
 
 # Business domains with their role prefix, environments with their role
@@ -88,41 +88,39 @@ def domain_grant_levels(
 ) -> DataFrame:
     """``all``, ``select`` or ``none`` for every user, domain and environment.
 
-    A user's relevant roles are few (two per domain and environment), so they are first
-    gathered into one bounded set per user, before the shuffle; the combinations are then
-    spelled out from a constant array.
+    A user's admin and reader roles become one bit per place, gathered with partial
+    aggregation, so a user with very many grants sends two numbers to the shuffle. The
+    places are then spelled out from a constant array.
     """
-    places = [
-        (d, e, f"{DOMAIN_PREFIXES[d]}_ADMIN{s}", f"{DOMAIN_PREFIXES[d]}_READER{s}")
-        for d in domains
-        for e, s in ENV_SUFFIXES.items()
+    combos = [(d, e) for d in domains for e in ENV_SUFFIXES]
+    if len(combos) > 63:
+        raise ValueError("more domain and environment combinations than bits in a long")
+    known = [
+        (f"{DOMAIN_PREFIXES[d]}_{tier}{ENV_SUFFIXES[e]}", bit * (tier == "ADMIN"), bit * (tier == "READER"))
+        for bit, (d, e) in ((1 << i, combo) for i, combo in enumerate(combos))
+        for tier in ("ADMIN", "READER")
     ]
-    relevant = [role for _, _, admin, reader in places for role in (admin, reader)]
+    # Two roles per place: a table of constant size.
+    bits = user_roles.sparkSession.range(1).select(
+        F.inline(constant_rows(["role", "admin", "reader"], known))
+    )
     held = (
-        user_roles.where(F.col("role").isin(relevant))
+        user_roles.join(F.broadcast(bits), "role")
         .groupBy("user")
-        .agg(F.collect_set("role").alias("held"))
+        .agg(F.bit_or("admin").alias("admin"), F.bit_or("reader").alias("reader"))
     )
-    grid = F.array(
-        *[
-            F.struct(
-                F.lit(d).alias("domain"),
-                F.lit(e).alias("env"),
-                F.lit(admin).alias("admin"),
-                F.lit(reader).alias("reader"),
-            )
-            for d, e, admin, reader in places
-        ]
+    grid = constant_rows(
+        ["bit", "domain", "env"], [(1 << i, d, e) for i, (d, e) in enumerate(combos)]
     )
     spelled = users.select("user").distinct().join(held, "user", "left").select(
-        "user", "held", F.explode(grid).alias("place")
-    )
-    level = (
-        F.when(F.array_contains("held", F.col("place.admin")), "all")
-        .when(F.array_contains("held", F.col("place.reader")), "select")
-        .otherwise("none")
+        "user", "admin", "reader", F.inline(grid)
     )
-    return spelled.select("user", "place.domain", "place.env", level.alias("level"))
+
+    def holds(mask: str) -> Column:
+        return F.col(mask).bitwiseAND(F.col("bit")) != 0
+
+    level = F.when(holds("admin"), "all").when(holds("reader"), "select").otherwise("none")
+    return spelled.select("user", "domain", "env", level.alias("level"))
 
 
 def grant_changes(current: DataFrame, desired: DataFrame) -> DataFrame:
@@ -160,22 +158,23 @@ def grant_changes(current: DataFrame, desired: DataFrame) -> DataFrame:
 
 def grant_statements(changes: DataFrame) -> DataFrame:
     """Ordered role actions implied by each change of level."""
-    domain, env = F.col("domain"), F.col("env")
     steps = F
     for (old, new), actions in _TRANSITIONS.items():
-        step_list = []
-        for text in actions:
-            action, tier = text.split()
-            step_list.append(
-                F.struct(
-                    F.lit(action).alias("action"), role_name(domain, env, tier).alias("role")
-                )
-            )
+        listed = constant_rows(["action", "tier"], [text.split() for text in actions])
         happened = (F.col("from_level") == old) & (F.col("to_level") == new)
-        steps = steps.when(happened, F.array(*step_list))
+        steps = steps.when(happened, listed)
+    prefix, suffix = F.col("prefix"), F.col("suffix")
+    role = F.when(
+        F.col("statement.tier") == "WAREHOUSE", F.concat(prefix, F.lit("_WH"), suffix, F.lit("_USER"))
+    ).otherwise(F.concat(prefix, F.lit("_"), F.col("statement.tier"), suffix))
     return changes.select(
-        "user", "domain", "env", F.posexplode(steps).alias("step", "statement")
-    ).select("user", "domain", "env", "step", "statement.action", "statement.role")
+        "user",
+        "domain",
+        "env",
+        _lookup(DOMAIN_PREFIXES, F.col("domain")).alias("prefix"),
+        _lookup(ENV_SUFFIXES, F.col("env")).alias("suffix"),
+        F.posexplode(steps).alias("step", "statement"),
+    ).select("user", "domain", "env", "step", "statement.action", role.alias("role"))
 
 
 def apply_changes(current: DataFrame, changes: DataFrame) -> DataFrame:
@@ -311,8 +310,7 @@ def clone_access(levels: DataFrame, source_user: str, new_users: DataFrame) -> D
     columns = ["domain", "env", "level"]
     if not held:
         return new_users.select("user", *[F.lit("").alias(c) for c in columns]).where(F.lit(False))
-    rows = F.array(*[F.struct(*[F.lit(row[c]).alias(c) for c in columns]) for row in held])
-    return new_users.select("user", F.explode(rows).alias("held")).select("user", "held.*")
+    return new_users.select("user", F.inline(constant_rows(columns, held)))
 
 
 def active_domains(levels: DataFrame) -> DataFrame:

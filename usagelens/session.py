@@ -30,6 +30,8 @@ def build_session(app: str = "usagelens", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Recording the Python call site of every column costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from usagelens import schemas as S
 from usagelens.functions.temporal import dateadd, trunc_ts
+from usagelens.functions.text import constant_rows
 from usagelens.plans.access import DOMAIN_PREFIXES, ENV_SUFFIXES
 from usagelens.streaming.ingest import stream_events
 
@@ -51,7 +52,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _pick(index: Column, values) -> Column:
     """Element at a 0-based index, NULL past the end."""
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    listed = ", ".join(f"'{value}'" for value in values)
+    return F.get(F.expr(f"array({listed})"), index.cast("int"))
 
 
 def with_k(events: DataFrame) -> DataFrame:
@@ -274,15 +276,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 def user_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Admin and reader roles by customer key; every user also holds an analyst role."""
     key = F.col("c_custkey")
-    places = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), F.lit(s).alias("s"))
-            for i, (p, s) in enumerate(
-                (p, s) for p in DOMAIN_PREFIXES.values() for s in ENV_SUFFIXES.values()
-            )
-        ]
-    )
-    i, prefix, suffix = F.col("place.i"), F.col("place.p"), F.col("place.s")
+    i, prefix, suffix = F.col("i"), F.col("prefix"), F.col("suffix")
     roles = F.array_compact(
         F.array(
             F.when((key + i) % 7 == 0, F.concat(prefix, F.lit("_ADMIN"), suffix)),
@@ -292,7 +286,7 @@ def user_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return (
         table(spark, sf_dir, "customer")
-        .select("c_custkey", F.explode(places).alias("place"))
+        .select("c_custkey", F.inline(places()))
         .select(F.concat(F.lit("U"), "c_custkey").alias("user"), F.explode(roles).alias("role"))
     )
 
@@ -367,26 +361,26 @@ def query_tag_rules(spark: SparkSession) -> DataFrame:
 
 def places() -> Column:
     """Domain x environment combinations in a fixed order, numbered from 0."""
-    combos = [(d, e) for d in DOMAIN_PREFIXES for e in ENV_SUFFIXES]
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(d).alias("domain"), F.lit(e).alias("env"))
-            for i, (d, e) in enumerate(combos)
-        ]
+    combos = [
+        (d, p, e, s) for d, p in DOMAIN_PREFIXES.items() for e, s in ENV_SUFFIXES.items()
+    ]
+    return constant_rows(
+        ["i", "domain", "prefix", "env", "suffix"],
+        [(i, *combo) for i, combo in enumerate(combos)],
     )
 
 
 def desired_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wanted levels for three quarters of each customer's places."""
-    turn = (F.col("c_custkey") + F.col("place.i")) % 4
+    turn = (F.col("c_custkey") + F.col("i")) % 4
     return (
         table(spark, sf_dir, "customer")
-        .select("c_custkey", F.explode(places()).alias("place"))
+        .select("c_custkey", F.inline(places()))
         .where(turn < 3)
         .select(
             F.concat(F.lit("U"), "c_custkey").alias("user"),
-            "place.domain",
-            "place.env",
+            "domain",
+            "env",
             _pick(turn, ("none", "select", "all")).alias("level"),
         )
     )
