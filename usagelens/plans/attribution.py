@@ -118,7 +118,7 @@ def _match_in_pieces(qh: DataFrame, rules: DataFrame, piece_rules: int) -> DataF
     candidates = None
     for number in range(pieces):
         piece = rules.where(F.pmod(F.xxhash64("tag_pattern"), F.lit(pieces)) == number)
-        found = tags.join(F.broadcast(piece), F.col("query_tag").like(F.col("tag_pattern")))
+        found = tags.join(F.broadcast(piece), F.like("query_tag", F.col("tag_pattern")))
         candidates = found if candidates is None else candidates.unionByName(found)
     per_length = candidates.groupBy("query_tag", F.length("tag_pattern").alias("_length")).agg(
         F.min(F.struct(*_RULE_FIELDS)).alias("rule")
