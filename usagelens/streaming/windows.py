@@ -33,13 +33,13 @@ def hourly_volume(
 def failed_logins(
     stream: DataFrame, n: int = 3, window: str = "5 minutes", late: str = "10 minutes"
 ) -> DataFrame:
-    timed = stream.withColumn("_ts", F.col("event_timestamp").cast("timestamp")).withWatermark(
+    """Users with at least ``n`` failures in a window; only failures advance the watermark."""
+    failed = stream.where(F.col("is_success") == "NO")
+    timed = failed.withColumn("_ts", F.col("event_timestamp").cast("timestamp")).withWatermark(
         "_ts", late
     )
-    counts = (
-        timed.where(F.col("is_success") == "NO")
-        .groupBy(F.window("_ts", window).alias("w"), "user_name")
-        .agg(F.count("*").alias("failures"))
+    counts = timed.groupBy(F.window("_ts", window).alias("w"), "user_name").agg(
+        F.count("*").alias("failures")
     )
     return counts.where(F.col("failures") >= n).select("user_name", *_bounds(), "failures")
 
