@@ -28,6 +28,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``max_rows`` narrow rows; otherwise as it
+    is, for a shuffled join. Counts, so ``df`` should be materialised."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def _slice_count(df: DataFrame, slices: int | None) -> int:
     if slices is not None:
         return slices

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.temporal import at
 from usagelens.functions.text import constant_rows, user_names
+from usagelens.operators.ordered import broadcast_if_small
 from usagelens.session import ensure_checkpoint_dir
 
 # Business domains with their role prefix, environments with their role
@@ -343,7 +344,7 @@ def role_closure(role_edges: DataFrame) -> DataFrame:
 def effective_roles(user_roles: DataFrame, role_edges: DataFrame) -> DataFrame:
     """Every role a user holds directly or through inheritance."""
     direct = user_roles.select("user", "role").distinct()
-    closure = role_closure(role_edges)
+    closure = broadcast_if_small(role_closure(role_edges))
     inherited = direct.join(closure, "role").select("user", F.col("inherits").alias("role"))
     return direct.unionByName(inherited).distinct()
 

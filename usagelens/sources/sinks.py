@@ -6,8 +6,10 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usagelens.functions.temporal import at
+from usagelens.session import scratch_path
 
 _PUBLISHED = "_PUBLISHED"
 
@@ -55,6 +57,54 @@ def overwrite_partitions(batch: DataFrame, location: str, part_col: str) -> None
     )
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(hadoop_path)
+
+
+def replace_keys(
+    spark: SparkSession, location: str, batch: DataFrame, key: Sequence[str], part_col: str
+) -> list:
+    """Delete the batch's keys from a partitioned table and insert the batch.
+
+    Only partitions that hold one of the keys, now or after, are rewritten; finding them
+    reads two narrow columns. The new content is staged before anything is replaced, so a
+    write that dies half-way can be run again. Returns the partition values rewritten.
+    """
+    if not path_exists(spark, location):
+        overwrite_partitions(batch, location, part_col)
+        return []
+    target = spark.read.parquet(location)
+    keys = batch.select(*key).distinct()
+    holding = target.select(*key, part_col).join(keys, list(key), "left_semi").select(part_col)
+    touched = [
+        row[0] for row in holding.unionByName(batch.select(part_col)).distinct().collect()
+    ]
+    in_touched = F.col(part_col).isin([value for value in touched if value is not None])
+    if None in touched:
+        in_touched = in_touched | F.col(part_col).isNull()
+    affected = target.where(in_touched)
+    kept = affected.join(keys, list(key), "left_anti").select(*batch.columns)
+    staged = scratch_path(spark, "replace-keys")
+    overwrite_partitions(kept.unionByName(batch), staged, part_col)
+    fresh = spark.read.schema(batch.schema).parquet(staged)
+    overwrite_partitions(fresh, location, part_col)
+    left = {row[0] for row in fresh.select(part_col).distinct().collect()}
+    for value in touched:
+        if value not in left:
+            _drop_partition(spark, location, part_col, value)
+    return touched
+
+
+def _drop_partition(spark: SparkSession, location: str, part_col: str, value) -> None:
+    """Remove a partition whose rows have all moved elsewhere: a write cannot empty it."""
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    name = utils.getPartitionPathString(part_col, None if value is None else str(value))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{location}/{name}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class VersionedTable:
     """Parquet table replaced as a whole, readers never see a half-written version.
 

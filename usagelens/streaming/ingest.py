@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.operators.incremental import incremental_window
 from usagelens.operators.ordered import latest_by_key
-from usagelens.sources.sinks import VersionedTable, overwrite_partitions
+from usagelens.sources.sinks import VersionedTable, overwrite_partitions, path_exists
 
 
 def stream_events(
@@ -62,17 +62,12 @@ class EventLog:
         self.key = key
         self._data = f"{self.root}/log"
 
-    def _exists(self) -> bool:
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self._data)
-        fs = path.getFileSystem(self._spark._jsc.hadoopConfiguration())
-        return fs.exists(path)
-
     def store(self, batch: DataFrame, batch_id: int) -> None:
         numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
         overwrite_partitions(numbered, self._data, "batch_id")
 
     def current(self, before_batch: int | None = None) -> DataFrame | None:
-        if not self._exists():
+        if not path_exists(self._spark, self._data):
             return None
         log = self._spark.read.parquet(self._data)
         if before_batch is not None:
