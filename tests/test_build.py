@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import AS_OF, SAMPLE
+from usagelens.operators.incremental import snapshot_check
 from usagelens.plans import build
 from usagelens.session import scratch_path
 from usagelens.sources import sample_logs as logs
@@ -91,3 +92,15 @@ def test_customer_events_load(spark):
     early = raw.where(F.col("value.event_timestamp") < F.lit("2024-01-20").cast("timestamp_ntz"))
     build.load_customer_events(spark, early, location)
     assert build.load_customer_events(spark, raw, location).count() == raw.count()
+
+
+def test_snapshot_table_equals_pure_history(spark, rows):
+    location, history = scratch_path(spark, "snapshot"), None
+    states = ([(1, "a"), (2, "a")], [(1, "b"), (3, "a")], [(1, "b"), (3, "a")], [(1, "a"), (2, "c")])
+    for day, state in enumerate(states, start=1):
+        current = spark.createDataFrame(state, "user_id int, plan string")
+        arguments = ("user_id", ["plan"], datetime(2024, 1, day))
+        history = snapshot_check(history, current, *arguments)
+        stored = build.load_snapshot(spark, current, location, *arguments)
+        stored = build.load_snapshot(spark, current, location, *arguments)   # again: no change
+        assert rows(stored, *history.columns) == rows(history)

@@ -15,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 256 * 1024 * 1024
-MAX_SLICES = 16384
+SLICE_BYTES = 64 * 1024 * 1024
+MAX_SLICES = 32768
 _SAMPLES_PER_SLICE = 16
 _KEY = "_key"
 _SLICE = "_slice"

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.operators.checks import run_checks
-from usagelens.operators.incremental import incremental_window
+from usagelens.operators.incremental import incremental_window, snapshot_check
 from usagelens.plans import cost, performance, quality, retention, staging
 from usagelens.plans.model_checks import MODEL_CHECKS
-from usagelens.session import Settings
-from usagelens.sources.sinks import path_exists, replace_keys, write_table
+from usagelens.session import Settings, scratch_path
+from usagelens.sources.sinks import (
+    overwrite_partitions,
+    path_exists,
+    replace_keys,
+    write_table,
+)
 
 
 class CheckFailure(ValueError):
@@ -52,6 +57,35 @@ def load_customer_events(
     return spark.read.parquet(location).drop("event_day")
 
 
+def load_snapshot(
+    spark: SparkSession,
+    current: DataFrame,
+    location: str,
+    key: str,
+    check_cols: Sequence[str],
+    as_of: datetime,
+) -> DataFrame:
+    """Slowly changing history kept as partitions: the open versions, and the versions each
+    run closed.
+
+    A run reads and rewrites the open versions only, however long the history is. Closed
+    versions are written first, to a partition of their own run, so a run that dies can be
+    repeated without losing or doubling any.
+    """
+    versions = f"{location}/versions"
+    is_open = F.col("closed_in") == "open"
+    known = spark.read.parquet(versions) if path_exists(spark, versions) else None
+    history = None if known is None else known.where(is_open).drop("closed_in")
+    closed_in = F.when(F.col("valid_to").isNull(), "open").otherwise(f"run {as_of:%Y%m%dT%H%M%S}")
+    moved = snapshot_check(history, current, key, check_cols, as_of).withColumn("closed_in", closed_in)
+    staged = scratch_path(spark, "snapshot")
+    overwrite_partitions(moved, staged, "closed_in")
+    fresh = spark.read.schema(moved.schema).parquet(staged)
+    overwrite_partitions(fresh.where(~is_open), versions, "closed_in")
+    overwrite_partitions(fresh.where(is_open), versions, "closed_in")
+    return spark.read.parquet(versions).drop("closed_in")
+
+
 def build_marts(
     spark: SparkSession,
     inputs: Mapping[str, DataFrame],

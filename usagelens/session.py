@@ -30,6 +30,9 @@ def build_session(app: str = "usagelens", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Wide projections generate methods the JVM would refuse to compile; past this size
+        # Spark runs the operators one by one, which is faster than interpreting them.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording the Python call site of every column costs more than building it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

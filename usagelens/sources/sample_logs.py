@@ -57,7 +57,10 @@ def _pick(index: Column, values) -> Column:
 
 
 def with_k(events: DataFrame) -> DataFrame:
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    # Generated rather than projected, so that filters on what is derived from it are not
+    # rewritten into repeated parsing of the JSON text.
+    parsed = F.get_json_object("props", "$.k").cast("int")
+    return events.select("*", F.explode(F.array(parsed)).alias("k"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
