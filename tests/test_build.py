@@ -41,6 +41,9 @@ def test_build_equals_lazy_models(spark):
     for name in MARTS:
         lazy = QUERIES[name](spark, SAMPLE)
         assert as_text(tables[name].select(*lazy.columns)) == as_text(lazy), name
+    build.register_views(tables)
+    worst = spark.sql("SELECT max(execution_time_ms) FROM fct_query_spilling").first()[0]
+    assert worst == tables["fct_query_spilling"].agg({"execution_time_ms": "max"}).first()[0]
     with pytest.raises(build.CheckFailure, match="rpt_cohort_retention"):
         # Orphan transactions give a row without a cohort.
         orphaned = dict(inputs(spark))
@@ -48,14 +51,15 @@ def test_build_equals_lazy_models(spark):
         build.check_tables(build.build_marts(spark, orphaned, scratch_path(spark, "marts"), AS_OF))
 
 
-def test_second_load_rewrites_only_touched_days(spark):
+@pytest.mark.parametrize("fixed", [False, True])
+def test_second_load_rewrites_only_touched_days(spark, fixed):
     location = scratch_path(spark, "qh")
     source = logs.query_history(spark, SAMPLE)
     middle = datetime(2024, 1, 20)
     build.load_query_history(spark, source.where(F.col("start_time") < F.lit("2024-01-20").cast("timestamp_ntz")), location, AS_OF)
     files = lambda: {r[0] for r in spark.read.parquet(location).select(F.input_file_name()).distinct().collect()}
     before = files()
-    build.load_query_history(spark, source, location, AS_OF)
+    build.load_query_history(spark, source, location, AS_OF, start_times_fixed=fixed)
     kept = {f.split("start_day=")[1][:10] for f in before & files()}
     newest = (middle - timedelta(days=1)).date()
     assert kept and max(kept) < str(newest - timedelta(days=2))

@@ -8,8 +8,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens.functions.temporal import at
 from usagelens.operators.checks import run_checks
-from usagelens.operators.incremental import incremental_window, snapshot_check
+from usagelens.operators.incremental import high_water_mark, snapshot_check
 from usagelens.plans import cost, performance, quality, retention, staging
 from usagelens.plans.model_checks import MODEL_CHECKS
 from usagelens.session import Settings, scratch_path
@@ -26,23 +27,28 @@ class CheckFailure(ValueError):
 
 
 def load_query_history(
-    spark: SparkSession, src: DataFrame, location: str, as_of: datetime, cfg: Settings = Settings()
+    spark: SparkSession,
+    src: DataFrame,
+    location: str,
+    as_of: datetime,
+    cfg: Settings = Settings(),
+    start_times_fixed: bool = False,
 ) -> DataFrame:
     """Incremental staging table of queries, partitioned by start day.
 
     It feeds seven models, so it is written once and read back with only the columns each
-    of them needs. A later run rewrites the days its keys touch, not the table.
+    of them needs. A later run rewrites the days its keys touch, not the table. With
+    ``start_times_fixed`` (the source never restates when a query began) it looks for its
+    keys in the days of the lookback only.
     """
     target = spark.read.parquet(location) if path_exists(spark, location) else None
-    wanted = incremental_window(
-        target,
-        "start_time",
-        timedelta(days=cfg.lookback_days),
-        as_of - timedelta(days=cfg.window_days),
-    )
-    batch = staging.clean_queries(src.where(wanted))
+    newest = high_water_mark(target, "start_time")
+    lookback = timedelta(days=cfg.lookback_days)
+    start = as_of - timedelta(days=cfg.window_days) if newest is None else newest - lookback
+    batch = staging.clean_queries(src.where(F.col("start_time") >= at(start)))
     dated = batch.withColumn("start_day", F.col("start_time").cast("date"))
-    replace_keys(spark, location, dated, ["query_id"], "start_day")
+    since = start.date() if start_times_fixed else None
+    replace_keys(spark, location, dated, ["query_id"], "start_day", since)
     return spark.read.parquet(location).drop("start_day")
 
 
@@ -140,6 +146,12 @@ def build_marts(
     return tables
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make built tables available to ``spark.sql`` under their model names."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+
+
 def check_tables(
     tables: Mapping[str, DataFrame], raise_on: Callable[[str], bool] = lambda s: s == "error"
 ) -> DataFrame:

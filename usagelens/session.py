@@ -30,6 +30,8 @@ def build_session(app: str = "usagelens", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A busy key's session windows are merged before the shuffle, not in one task after it.
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         # Wide projections generate methods the JVM would refuse to compile; past this size
         # Spark runs the operators one by one, which is faster than interpreting them.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")

@@ -64,20 +64,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_keys(
-    spark: SparkSession, location: str, batch: DataFrame, key: Sequence[str], part_col: str
+    spark: SparkSession,
+    location: str,
+    batch: DataFrame,
+    key: Sequence[str],
+    part_col: str,
+    since=None,
 ) -> list:
     """Delete the batch's keys from a partitioned table and insert the batch.
 
     Only partitions that hold one of the keys, now or after, are rewritten; finding them
-    reads two narrow columns. The new content is staged before anything is replaced, so a
-    write that dies half-way can be run again. Returns the partition values rewritten.
+    reads two narrow columns of the table, or of its partitions from ``since`` on when the
+    caller knows that no earlier one can hold a key of the batch. The new content is staged
+    before anything is replaced, so a write that dies half-way can be run again. Returns the
+    partition values rewritten.
     """
     if not path_exists(spark, location):
         overwrite_partitions(batch, location, part_col)
         return []
     target = spark.read.parquet(location)
     keys = batch.select(*key).distinct()
-    holding = target.select(*key, part_col).join(keys, list(key), "left_semi").select(part_col)
+    searched = target if since is None else target.where(F.col(part_col) >= F.lit(since))
+    holding = searched.select(*key, part_col).join(keys, list(key), "left_semi").select(part_col)
     touched = [
         row[0] for row in holding.unionByName(batch.select(part_col)).distinct().collect()
     ]
