@@ -125,6 +125,14 @@ def test_versioned_table(spark, rows):
     assert table.read().count() == 3
     table.roll_back()
     assert rows(table.read()) == [(0,), (1,), (2,)]
+    for n in (4, 5, 6):
+        table.swap(spark.range(n))
+    table.vacuum(keep=2)
+    assert table.read().count() == 6
+    table.roll_back()
+    assert table.read().count() == 5
+    table.roll_back()
+    assert table.read() is None
 
 
 def test_replace_range_keeps_null_times(spark, rows):

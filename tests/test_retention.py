@@ -79,3 +79,38 @@ def test_orphans_and_early_purchases(spark, seeds):
     assert direct == by_row
     assert (None, None, None, 1, None, "6.00") in direct
     assert ("2026-03", 1, -3, 1, 100.0, "7.00") in direct
+
+
+def test_hot_user_is_split_in_the_row_level_join(spark, tmp_path):
+    """One user owns a third of the transactions: adaptive execution splits their partition."""
+    from pyspark.sql import functions as F
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        n = 60_000
+        user = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000)
+        tx = spark.range(0, n, 1, 8).select(
+            F.col("id").alias("transaction_id"),
+            user.alias("user_id"),
+            F.lit("2026-02-01").cast("date").alias("purchase_date"),
+            F.col("id").cast("decimal(10,2)").alias("transaction_amount_chf"),
+        )
+        users = spark.range(5000).select(
+            F.col("id").alias("user_id"), F.lit("2026-01-01").cast("date").alias("signup_date"), F.lit("CH").alias("country_code")
+        )
+        joined = retention.user_transactions(users, tx)
+        assert len(joined.collect()) == n
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -10,12 +10,14 @@ Input whose estimated size fits a single task is handled by an ordinary window.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 64 * 1024 * 1024
+SLICE_ROWS = 250_000
 MAX_SLICES = 32768
 _SAMPLES_PER_SLICE = 16
 _KEY = "_key"
@@ -34,24 +36,30 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def _slice_count(df: DataFrame, slices: int | None) -> int:
-    if slices is not None:
-        return slices
-    return max(1, min(MAX_SLICES, math.ceil(estimated_bytes(df) / SLICE_BYTES)))
+def _slice_count(df: DataFrame, rows: Callable[[], int]) -> int:
+    """Slices for ``df``: by estimated size, but never thinner than ``SLICE_ROWS`` rows.
+
+    Rows are counted only if the estimate asks for slices; sources without statistics
+    are estimated as very large.
+    """
+    by_size = math.ceil(estimated_bytes(df) / SLICE_BYTES)
+    if by_size <= 1:
+        return 1
+    return max(1, min(MAX_SLICES, by_size, math.ceil(rows() / SLICE_ROWS)))
 
 
 def _struct(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(name) for name in names])
 
 
-def _split_points(df: DataFrame, order: Sequence[str], slices: int) -> DataFrame:
+def _split_points(df: DataFrame, order: Sequence[str], slices: int, rows: int) -> DataFrame:
     """Per ``_key``, the order values at which its rows are cut, as a list of lists.
 
     Cuts are quantiles over (key, order) of a hash-chosen sample, so reruns of a lost
     task see the same ones. The sample is bounded by the number of slices, and at most
     ``slices`` cut rows remain whatever the size of ``df``.
     """
-    rate = max(1, df.count() // (slices * _SAMPLES_PER_SLICE))
+    rate = max(1, rows // (slices * _SAMPLES_PER_SLICE))
     place = F.struct(F.col(_KEY).alias("key"), _struct(order).alias("here"))
     sample = (
         df.select(place.alias("place"))
@@ -77,11 +85,12 @@ def with_slices(
     ``None`` when the input is small enough for one task. The two-level search keeps the
     work per row at the square root of the number of cuts.
     """
-    count = _slice_count(df, slices)
+    rows = cache(df.count)
+    count = _slice_count(df, rows) if slices is None else slices
     if count == 1:
         return None
     keyed = df.withColumn(_KEY, _struct(keys))
-    cuts = _split_points(keyed, order, count)
+    cuts = _split_points(keyed, order, count, rows())
     # At most MAX_SLICES cuts exist in total, so the table is always small.
     cuts = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
     here = _struct(order)
@@ -217,7 +226,7 @@ def page(
     if first + size <= top_rows:
         return df.orderBy(*ordering).offset(first).limit(size), pages
     counted = df.withColumns({"_all": F.lit(1), "_one": F.lit(1).cast("long")})
-    placed = running_sum(counted, ["_all"], order, "_one", "_place", _slice_count(df, None))
+    placed = running_sum(counted, ["_all"], order, "_one", "_place")
     place = F.lit(rows) - F.col("_place") if descending else F.col("_place") - 1
     wanted = placed.where((place >= first) & (place < first + size))
     return wanted.orderBy(*ordering).select(*df.columns), pages

@@ -176,3 +176,15 @@ class VersionedTable:
         if version is not None:
             fs, marker = self._fs(f"{self._path(version)}/{_PUBLISHED}")
             fs.delete(marker, False)
+
+    def vacuum(self, keep: int = 3) -> None:
+        """Delete all but the newest ``keep`` published versions, and what failed before them.
+
+        Keep enough for readers that started on an earlier version to finish.
+        """
+        published = [v for v in self._versions() if self._is_published(v)]
+        if len(published) > keep:
+            for version in self._versions():
+                if version < published[-keep]:
+                    fs, path = self._fs(self._path(version))
+                    fs.delete(path, True)

@@ -124,6 +124,7 @@ def refresh_latest(
         known = table.read()
         everything = batch if known is None else known.unionByName(batch)
         table.swap(latest_by_key(everything, key, order_by))
+        table.vacuum()
 
     writer = stream.writeStream.option("checkpointLocation", f"{table.root}/checkpoint")
     return _triggered(writer.foreachBatch(merge), every).start()
