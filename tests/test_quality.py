@@ -128,3 +128,13 @@ def test_source_freshness(spark):
     assert status(datetime(2024, 1, 29, 1, 29)) == "error"
     empty = spark.createDataFrame([], "ts timestamp_ntz")
     assert checks.source_freshness(empty, "ts", AS_OF, 24, 48).first().status == "error"
+
+
+def test_trusted_write_times_give_the_same_gaps(spark):
+    from conftest import SAMPLE
+    from registry.spark_queries import qh, writes
+
+    arguments = qh(spark, SAMPLE), writes(spark, SAMPLE), AS_OF
+    plain = quality.freshness_gaps(*arguments).collect()
+    trusted = quality.freshness_gaps(*arguments, trust_write_times=True).collect()
+    assert sorted(map(repr, plain)) == sorted(map(repr, trusted))
