@@ -43,3 +43,42 @@ SELECT doc_id, size, source_size, target,
          AS taken
 FROM placed
 """
+
+SQL["op5_decontamination"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), items AS (
+    SELECT item_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT item_id, least(len(w), 10) AS n,
+           unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ')
+                   FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS phrase
+    FROM items WHERE len(w) > 0
+), lengths AS (
+    SELECT DISTINCT n FROM windows
+), places AS (
+    SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, w
+    FROM docs, lengths WHERE len(w) >= n
+), found AS (
+    SELECT p.r, p.i, p.n, x.item_id
+    FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS phrase FROM places) p
+    JOIN windows x ON p.n = x.n AND p.phrase = x.phrase
+), hits AS (
+    SELECT r, count(DISTINCT pos) AS n_hit
+    FROM (SELECT r, unnest(range(i, i + n)) AS pos FROM found) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM found) GROUP BY r
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(m.n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(m.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h USING (r) LEFT JOIN named m USING (r)
+"""
