@@ -31,6 +31,10 @@ def word_count(text: Column) -> Column:
     return (F.size(F.split(padded, r"[ \t-\r]+")) - 2).cast("long")
 
 
+def long(value: int) -> Column:
+    return F.lit(value).cast("long")
+
+
 def source_targets(
     sizes: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -45,7 +49,9 @@ def source_targets(
     """
     per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int"))
+    weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int")).cast(
+        "long"
+    )
     table = stored(
         per_source.withColumn("weight", weight).withColumn(
             "cap", F.col("source_size") * F.lit(max_epochs)
@@ -59,7 +65,7 @@ def source_targets(
         above = (
             F.lit(False)
             if left is None
-            else F.col("cap") * F.lit(100 * left) < F.col("weight") * F.lit(budget)
+            else F.col("cap") * long(100 * left) < F.col("weight") * long(budget)
         )
         row = table.agg(
             F.sum(F.when(above, F.col("cap")).otherwise(0)).alias("cap"),
@@ -75,9 +81,9 @@ def source_targets(
         target = F.col("cap").cast("double")
     else:
         target = F.when(
-            F.col("cap") * F.lit(100 * left) < F.col("weight") * F.lit(budget),
+            F.col("cap") * long(100 * left) < F.col("weight") * long(budget),
             F.col("cap").cast("double"),
-        ).otherwise((F.col("weight") * F.lit(budget)).cast("double") / F.lit(float(100 * left)))
+        ).otherwise((F.col("weight") * long(budget)).cast("double") / F.lit(float(100 * left)))
     return table.select("source", "source_size", target.alias("target"))
 
 
