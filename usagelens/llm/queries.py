@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import decontaminate, mixing
+from usagelens.llm import decontaminate, embeddings, mixing
 from usagelens.llm.sql import SQL  # noqa: F401
 
 
@@ -32,7 +32,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }

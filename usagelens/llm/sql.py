@@ -82,3 +82,30 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
        coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM docs d LEFT JOIN hits h USING (r) LEFT JOIN named m USING (r)
 """
+
+SQL["op10_embedding_dedup"] = r"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM usable a JOIN usable b
+      ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), smallest AS (
+    SELECT a, min(b) AS b FROM reach GROUP BY a
+), degree AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links,
+       least(e.vec_id, coalesce(s.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(s.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN smallest s ON s.a = e.vec_id
+"""
