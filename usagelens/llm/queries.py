@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import decontaminate, embeddings, mixing
+from usagelens.llm import compression, decontaminate, embeddings, mixing, quality, toxicity
 from usagelens.llm.sql import SQL  # noqa: F401
 
 
@@ -13,6 +13,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held = compression.held_out(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), ~held)
+    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held.alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.PREDICT_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -32,12 +45,27 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held = compression.held_out(F.col("doc_id"), 3, 1)
+    model = quality.fit(documents, table(spark, sf_dir, "labels"), ~held)
+    scored = quality.score(documents.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        held.alias("held_out"),
+        "score",
+        (F.col("score") >= quality.PREDICT_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
+    "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
