@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import compression, decontaminate, embeddings, mixing, quality, toxicity
+from usagelens.llm import compression, decontaminate, embeddings, languages, mixing, quality, toxicity
 from usagelens.llm.sql import SQL  # noqa: F401
 
 
@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held = compression.held_out(F.col("doc_id"), 4, 2)
+    model = languages.fit(documents, ~held)
+    predicted = languages.predict(documents.select("doc_id", "text"), model)
+    return predicted.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 4, 2)
@@ -63,6 +71,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_languages": op2_languages,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
