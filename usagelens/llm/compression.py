@@ -117,9 +117,15 @@ def labelled_sample(
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("y"))
     )
-    order = Window.partitionBy("y").orderBy(F.md5(F.col("doc_id").cast("string")))
-    chosen = known.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class)
     totals = {row["y"]: row["count"] for row in known.groupBy("y").count().collect()}
+    # The hash thins a class out before its first rows are ranked.
+    place = F.xxhash64("doc_id", F.lit(label))
+    share = F.lit(0.0)
+    for y, n in totals.items():
+        share = F.when(F.col("y") == y, F.lit(min(1.0, 1.2 * per_class / n))).otherwise(share)
+    thin = known.filter(F.pmod(place, F.lit(1_000_000)) < share * 1_000_000)
+    order = Window.partitionBy("y").orderBy(place)
+    chosen = thin.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_class)
     sample = documents.filter("text IS NOT NULL").join(
         F.broadcast(chosen.select("doc_id", "y")), "doc_id"
     )

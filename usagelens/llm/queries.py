@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import compression, decontaminate, embeddings, languages, mixing, quality, toxicity
+from usagelens.llm import compression, decontaminate, embeddings, languages, minhash, mixing, quality, toxicity
 from usagelens.llm.sql import SQL  # noqa: F401
 
 
@@ -21,6 +21,11 @@ def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", "class_id", "kept")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 4, 2)
@@ -72,6 +77,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_languages": op2_languages,
+    "op3_minhash": op3_minhash,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
