@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import compression, decontaminate, embeddings, languages, minhash, mixing, quality, toxicity
+from usagelens.llm import compression, decontaminate, embeddings, languages, minhash, mixing, pages, quality, toxicity
 from usagelens.llm.sql import SQL  # noqa: F401
 
 
@@ -58,6 +58,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    html = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = pages.extract(html, pages.fit(html))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 3, 1)
@@ -81,6 +87,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
+    "op7_pages": op7_pages,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
