@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import compression, decontaminate, embeddings, languages, minhash, mixing, pages, quality, toxicity
+from usagelens.llm import compression, decontaminate, embeddings, languages, lines, minhash, mixing, pages, quality, toxicity
 from usagelens.llm.sql import SQL  # noqa: F401
 
 
@@ -13,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.line_classes(table(spark, sf_dir, "documents"))
+    return found.drop("row")
+
+
 def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 4, 2)
@@ -82,6 +87,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lines": op1_lines,
     "op2_languages": op2_languages,
     "op3_minhash": op3_minhash,
     "op4_toxicity": op4_toxicity,

@@ -109,3 +109,36 @@ SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links,
        e.vec_id = least(e.vec_id, coalesce(s.b, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN smallest s ON s.a = e.vec_id
 """
+
+SQL["op1_lines"] = r"""
+WITH RECURSIVE places AS (
+    SELECT doc_id, i - 1 AS line_no, trim(l[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+         unnest(range(1, len(l) + 1)) AS u(i)
+), lines AS (
+    SELECT * FROM places WHERE line <> ''
+), texts AS (
+    SELECT line, min((doc_id, line_no)) AS first, length(line) AS n FROM lines GROUP BY line
+), links AS (
+    SELECT a.line AS a, b.line AS b
+    FROM texts a JOIN texts b ON b.n BETWEEN a.n - 2 AND a.n + 2 AND a.line <> b.line
+    WHERE a.n >= 20 AND b.n >= 20
+      AND abs(strlen(a.line) - strlen(replace(a.line, 'e', '')) - strlen(b.line) + strlen(replace(b.line, 'e', ''))) <= 2
+      AND abs(strlen(a.line) - strlen(replace(a.line, 'n', '')) - strlen(b.line) + strlen(replace(b.line, 'n', ''))) <= 2
+      AND levenshtein(a.line, b.line) <= 2
+), reach(a, b) AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), classes AS (
+    SELECT t.line, min(o.first) AS first
+    FROM texts t JOIN (SELECT a, b FROM reach UNION SELECT line, line FROM texts) r ON r.a = t.line
+    JOIN texts o ON o.line = r.b
+    GROUP BY t.line
+), degree AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT l.doc_id, l.line_no::INTEGER AS line_no, c.first[1] AS class_doc, c.first[2]::INTEGER AS class_line,
+       (l.doc_id, l.line_no) = c.first AS kept, coalesce(d.n, 0)::BIGINT AS n_links
+FROM lines l JOIN classes c ON c.line = l.line LEFT JOIN degree d ON d.a = l.line
+"""
