@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import compression, decontaminate, embeddings, languages, lines, minhash, mixing, pages, quality, toxicity
-from usagelens.llm.sql import SQL  # noqa: F401
+from usagelens.llm import compression, decontaminate, embeddings, languages, lines, minhash, mixing, pages, quality, shards, toxicity
+from usagelens.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return shards.write_shards(documents, scratch_path(spark, "shards"), shards.read_vocabulary())
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 3, 1)
@@ -94,6 +99,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_pages": op7_pages,
+    "op8_shards": op8_shards,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
