@@ -32,6 +32,15 @@ def checked(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def numbered(df: DataFrame, name: str = "row") -> DataFrame:
+    """``df`` with a number for every row.
+
+    Reading a stored table again gives the same numbers, so that a decision about a row can
+    be joined back to it. ``df`` must be such a table, or its files.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def text_or_empty(column: Column | str) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

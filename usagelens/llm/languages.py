@@ -188,10 +188,10 @@ def fit(documents: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, c
     )
 
 
-def predict(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with lang_pred, score (cosine of the best centroid) and rejected."""
+def predict(documents: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """``documents``, or its columns ``keep``, with lang_pred, score (cosine of the best centroid) and rejected."""
     names = ("lang_pred", "score", "rejected")
-    rest = [c for c in documents.columns if c not in names]
+    rest = [c for c in keep or documents.columns if c not in names]
     kinds = documents.select(*rest).schema
     kinds = kinds.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
@@ -213,6 +213,6 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
                 rows["rejected"] = (
                     ~has | (value < model.reach[best]) if len(model.languages) else np.ones(len(rows), bool)
                 )
-                yield rows
+                yield rows[[*rest, *names]]
 
-    return documents.select(*rest).mapInPandas(judge, kinds)
+    return documents.select(*dict.fromkeys([*rest, "text"])).mapInPandas(judge, kinds)

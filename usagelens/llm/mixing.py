@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import checked, stored, text_or_empty
+from usagelens.llm.common import checked, numbered, stored, text_or_empty
 
 # Weights given to the sources in code point order, over and over.
 WEIGHTS = (3, 1, 2)
@@ -94,7 +94,7 @@ def mix(
     max_epochs: int = 2,
     seed: str = "mix",
 ) -> DataFrame:
-    """One row per document: (doc_id, source, size, source_size, target, taken, copies).
+    """One row per document: (row, doc_id, source, size, source_size, target, taken, copies).
 
     ``taken`` counts the words the mix takes of the document, repeats included; ``copies``
     is the same in whole documents, the one cut document of a source rounded.
@@ -105,7 +105,10 @@ def mix(
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
     sizes = stored(
-        documents.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes"
+        numbered(documents.select("doc_id", "source", "text")).select(
+            "row", "doc_id", "source", word_count(F.col("text")).alias("size")
+        ),
+        "mix-sizes",
     )
     targets = checked(source_targets(sizes, weights, share_pct, max_epochs), 200)
     keyed = sizes.withColumn("key", key).withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
@@ -139,6 +142,7 @@ def mix(
         .withColumn("rest", rest)
         .withColumn("extra", extra)
         .select(
+            "row",
             "doc_id",
             "source",
             "size",
@@ -153,3 +157,17 @@ def mix(
             .alias("copies"),
         )
     )
+
+
+def mixed(documents: DataFrame, **settings) -> DataFrame:
+    """The mix itself: every document as often as ``mix`` says, with all its columns.
+
+    ``documents`` is a stored table. Documents and decisions meet by row number, which
+    spreads any source evenly.
+    """
+    copies = mix(documents, **settings).filter("copies > 0").select("row", F.col("copies").alias("mix copies"))
+    rows = numbered(documents, "mix row")
+    repeated = rows.join(copies.withColumnRenamed("row", "mix of"), F.expr("`mix row` = `mix of`")).withColumn(
+        "mix copy", F.explode(F.sequence(F.lit(1), F.col("mix copies")))
+    )
+    return repeated.select(*documents.columns)

@@ -220,14 +220,13 @@ def fit(pages: DataFrame, labelled: int = LABELLED_PAGES) -> dict[str, float]:
     return learn([row["html"] for row in rows])
 
 
-def extract(pages: DataFrame, weights: dict[str, float]) -> DataFrame:
-    """``pages`` with the main text as ``text``. One pass without a shuffle."""
-    rest = [c for c in pages.columns if c != "text"]
+def extract(pages: DataFrame, weights: dict[str, float], keep: list[str] | None = None) -> DataFrame:
+    """``pages``, or its columns ``keep``, with the main text as ``text``. One pass without a shuffle."""
+    rest = [c for c in keep or pages.columns if c != "text"]
     kinds = pages.select(*rest).schema.add("text", "string")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["text"] = [main_text(page, weights) for page in batch.html]
-            yield batch
+            yield batch[rest].assign(text=[main_text(page, weights) for page in batch.html])
 
-    return pages.select(*rest).mapInPandas(run, kinds)
+    return pages.select(*dict.fromkeys([*rest, "html"])).mapInPandas(run, kinds)

@@ -116,17 +116,16 @@ def fit(
     return model
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``score`` (0 to 1) and ``difference``, bytes saved per byte by the
+def score(documents: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """``documents``, or its columns ``keep``, with ``score`` (0 to 1) and ``difference``, bytes saved per byte by the
     bad dictionary. One pass over the texts without a shuffle."""
-    rest = [c for c in documents.columns if c not in ("score", "difference")]
+    rest = [c for c in keep or documents.columns if c not in ("score", "difference")]
     kinds = documents.select(*rest).schema.add("score", "double").add("difference", "double")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             features = differences(batch.text, model)
-            batch["score"] = compression.logistic(model.calibration, curved(features))
-            batch["difference"] = features[:, 0]
-            yield batch
+            scores = compression.logistic(model.calibration, curved(features))
+            yield batch[rest].assign(score=scores, difference=features[:, 0])
 
-    return documents.select(*rest).mapInPandas(judge, kinds)
+    return documents.select(*dict.fromkeys([*rest, "text"])).mapInPandas(judge, kinds)

@@ -22,7 +22,7 @@ def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 4, 2)
     model = languages.fit(documents, ~held)
-    predicted = languages.predict(documents.select("doc_id", "text"), model)
+    predicted = languages.predict(documents, model, ["doc_id"])
     return predicted.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
@@ -35,7 +35,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 4, 2)
     model = toxicity.fit(documents, table(spark, sf_dir, "labels"), ~held)
-    scored = toxicity.score(documents.select("doc_id", "text"), model)
+    scored = toxicity.score(documents, model, ["doc_id"])
     return scored.select(
         "doc_id",
         held.alias("held_out"),
@@ -64,8 +64,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    html = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    found = pages.extract(html, pages.fit(html))
+    raw = table(spark, sf_dir, "pages")
+    found = pages.extract(raw, pages.fit(raw), ["page_id", "url"])
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
@@ -78,7 +78,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held = compression.held_out(F.col("doc_id"), 3, 1)
     model = quality.fit(documents, table(spark, sf_dir, "labels"), ~held)
-    scored = quality.score(documents.select("doc_id", "text"), model)
+    scored = quality.score(documents, model, ["doc_id"])
     return scored.select(
         "doc_id",
         held.alias("held_out"),

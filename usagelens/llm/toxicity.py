@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import compression
+from usagelens.llm.common import checked, numbered, stored
 
 # Labelled documents of a class that are learnt from, and ordinary windows the background is
 # trained on.
@@ -176,19 +177,31 @@ def fit(
     return model
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """``documents`` with ``score`` (0 to 1) and ``savings``, the largest saving in bytes.
+def score(documents: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """``documents``, or its columns ``keep``, with ``score`` (0 to 1) and ``savings``, the
+    largest saving in bytes.
 
     One pass over the texts without a shuffle.
     """
-    rest = [c for c in documents.columns if c not in ("score", "savings")]
+    rest = [c for c in keep or documents.columns if c not in ("score", "savings")]
     kinds = documents.select(*rest).schema.add("score", "double").add("savings", "double")
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             features = savings(batch.text, model)
-            batch["score"] = compression.logistic(model.calibration, curved(features))
-            batch["savings"] = features[:, 0]
-            yield batch
+            scores = compression.logistic(model.calibration, curved(features))
+            yield batch[rest].assign(score=scores, savings=features[:, 0])
 
-    return documents.select(*rest).mapInPandas(judge, kinds)
+    return documents.select(*dict.fromkeys([*rest, "text"])).mapInPandas(judge, kinds)
+
+
+def accepted(documents: DataFrame, model: Model, reject_from: float = PREDICT_FROM) -> DataFrame:
+    """The documents that score below ``reject_from``, with all their columns.
+
+    ``documents`` is a stored table; the rejected rows are the small side of the join.
+    """
+    scored = score(numbered(documents.select("text"), "toxic row"), model, ["toxic row"])
+    rejected = stored(scored.filter(F.col("score") >= reject_from).select("toxic row"), "toxic-rows")
+    return numbered(documents, "toxic row").join(checked(rejected, 16), "toxic row", "left_anti").select(
+        *documents.columns
+    )
