@@ -38,7 +38,10 @@ SHINGLE, THRESHOLD = 5, 0.8
 # A pair at the threshold shares a key of one table with probability 0.8 ** PER_KEY, so all
 # tables miss it with probability 4e-5.
 PER_KEY, TABLES, FIRST_TABLES = 3, 14, 3
-SKETCH_BITS = 256
+# A coarse sketch of one bit for each of 256 bins, and a fine one of five bits for each of 512.
+SKETCH_BITS, FINE_BINS, FINE_SPREADS = 256, 512, 3.5
+# Shingles a verifying task keeps for the next pairs.
+KEPT_SHINGLES = 4_000_000
 SEED = 3
 EDGE_SCHEMA = "a long, b long"
 
@@ -126,6 +129,19 @@ class Shingler:
         return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
+    @staticmethod
+    def fine_sketch(labelled: np.ndarray) -> list[int]:
+        """Four bits of the smallest hash in each of 512 bins and whether there is one: five
+        planes of 8 longs."""
+        ranked = np.sort(mix(labelled ^ np.uint64(0x2545F4914F6CDD1D)))
+        bins = (ranked >> np.uint64(55)).astype(np.int64)
+        first = np.r_[True, bins[1:] != bins[:-1]]
+        value = np.zeros(FINE_BINS, np.uint8)
+        value[bins[first]] = (mix(ranked[first]) & np.uint64(15)).astype(np.uint8) | np.uint8(16)
+        planes = [np.packbits((value >> k) & 1).view(np.int64) for k in range(5)]
+        return np.concatenate(planes).tolist()
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
     """Similarity of two shingle sequences, or 0 below ``threshold``.
 
@@ -167,7 +183,7 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
 
 
 def hashed(documents: DataFrame) -> DataFrame:
-    """Stored (row, doc_id, text, h1, h2, n, keys, sketch), one row per document."""
+    """Stored (row, doc_id, text, h1, h2, n, keys, sketch, fine), one row per document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
@@ -176,13 +192,14 @@ def hashed(documents: DataFrame) -> DataFrame:
             for text in batch.text:
                 s = shingler.shingles(text)
                 if not len(s):
-                    rows.append((None, None, 0, None, None))
+                    rows.append((None, None, 0, None, None, None))
                     continue
                 at = np.arange(1, len(s) + 1, dtype=np.uint64)
                 h1, h2 = (int(mix(s * at + c).sum().astype(np.int64)) for c in (at, np.uint64(7)))
                 known = shingler.labelled(s)
-                rows.append((h1, h2, len(s), shingler.keys(known), shingler.sketch(known)))
-            out = pd.DataFrame(rows, columns=["h1", "h2", "n", "keys", "sketch"])
+                sketches = shingler.sketch(known), shingler.fine_sketch(known)
+                rows.append((h1, h2, len(s), shingler.keys(known), *sketches))
+            out = pd.DataFrame(rows, columns=["h1", "h2", "n", "keys", "sketch", "fine"])
             out["h1"], out["h2"] = out.h1.astype("Int64"), out.h2.astype("Int64")
             yield pd.concat([batch.reset_index(drop=True), out], axis=1)
 
@@ -190,6 +207,7 @@ def hashed(documents: DataFrame) -> DataFrame:
     kinds = StructType(list(source.schema.fields))
     kinds = kinds.add("h1", "long").add("h2", "long").add("n", "integer")
     kinds = kinds.add("keys", ArrayType(LongType())).add("sketch", ArrayType(LongType()))
+    kinds = kinds.add("fine", ArrayType(LongType()))
     return stored(source.mapInPandas(run, kinds), "minhash")
 
 
@@ -207,6 +225,32 @@ def close_enough(a: str, b: str) -> Column:
     return (least >= THRESHOLD * F.greatest(f"{a}.n", f"{b}.n")) & (differ <= allowed)
 
 
+def closer_enough(a: str, b: str) -> Column:
+    """The same with the fine sketch: the share of bins that differ, among those that either
+    fills, may be ``FINE_SPREADS`` standard deviations above that of a pair at the threshold. The bins
+    are drawn without replacement from the shingles of both, which narrows the deviation for
+    short texts."""
+    words = FINE_BINS // 64
+    x, y = F.col(f"{a}.fine"), F.col(f"{b}.fine")
+
+    def differing(k: int) -> Column:
+        out = x[k].bitwiseXOR(y[k])
+        for plane in range(1, 5):
+            out = out.bitwiseOR(x[plane * words + k].bitwiseXOR(y[plane * words + k]))
+        return F.bit_count(out)
+
+    differ = sum(map(differing, range(words)), start=F.lit(0))
+    either = sum(
+        (F.bit_count(x[k].bitwiseOR(y[k])) for k in range(4 * words, 5 * words)), start=F.lit(0)
+    )
+    union = (F.col(f"{a}.n") + F.col(f"{b}.n")) / (1 + THRESHOLD)
+    share = 1 - THRESHOLD
+    spread = F.sqrt(
+        share * (1 - share) / either * F.greatest(F.lit(0.05), 1 - either / union)
+    )
+    return close_enough(a, b) & (differ <= either * (share + FINE_SPREADS * spread))
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Stored pairs (a, b) of nodes whose texts align.
 
@@ -222,13 +266,18 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler()
-        last, mine = None, None
+        known: dict[int, np.ndarray] = {}
+        size = 0
         for batch in batches:
             keep = []
-            for a, text_a, text_b in zip(batch.a, batch.text_a, batch.text_b, strict=True):
-                if a != last:
-                    last, mine = a, shingler.shingles(text_a)
-                keep.append(aligned(mine, shingler.shingles(text_b)) > 0)
+            for a, b, text_a, text_b in zip(batch.a, batch.b, batch.text_a, batch.text_b, strict=True):
+                if size > KEPT_SHINGLES:
+                    known, size = {}, 0
+                for node, text in ((a, text_a), (b, text_b)):
+                    if node not in known:
+                        known[node] = shingler.shingles(text)
+                        size += len(known[node])
+                keep.append(aligned(known[a], known[b]) > 0)
             yield batch.loc[keep, ["a", "b"]]
 
     both = pairs.join(
@@ -237,6 +286,46 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(both.mapInPandas(run, EDGE_SCHEMA), "minhash-edges")
 
 
+def open_buckets(keyed: DataFrame, unique: DataFrame, member: DataFrame) -> DataFrame:
+    """Stored rows of the buckets whose nodes are not all in one component."""
+    named = keyed.join(member.select("node", "component"), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    several = (
+        named.groupBy("t", "key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low != high")
+        .select("t", "key")
+    )
+    rows = named.join(several, ["t", "key"])
+    return stored(rows.join(unique.select("node", "fine", "keys"), "node"), "minhash-open")
+
+
+def first_table() -> Column:
+    """Whether no table before the bucket's has the pair in one bucket, too."""
+    earlier = (
+        ((F.col("x.t") > t) & (F.col("x.keys")[t] == F.col("y.keys")[t])).cast("int")
+        for t in range(TABLES - 1)
+    )
+    return sum(earlier, start=F.lit(0)) == 0
+
+
+def cross_pairs(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that pass the sketch tests."""
+    return (
+        left.alias("x")
+        .join(
+            right.alias("y"),
+            (F.col("x.t") == F.col("y.t"))
+            & (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.component") != F.col("y.component"))
+            & condition
+            & closer_enough("x", "y"),
+        )
+        .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
+    )
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """One row per document: (row, doc_id, class_id, kept)."""
     rows = hashed(documents)
@@ -247,6 +336,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             F.min("n").alias("n"),
             F.first("keys").alias("keys"),
             F.first("sketch").alias("sketch"),
+            F.first("fine").alias("fine"),
         ),
         "minhash-nodes",
     )
@@ -288,31 +378,28 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     more = verified(apart(stars.filter(F.col("t") >= FIRST_TABLES).select("a", "b")), usable)
     edges = edges.union(more)
     member = components(edges, "minhash-components")
-    # What is left: nodes of a bucket in different components, neither of them its pivot.
-    named = keyed.join(
-        member.select("node", "component"), "node", "left"
-    ).withColumn("component", F.coalesce("component", "node"))
-    open_buckets = (
-        named.groupBy("t", "key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low != high")
-        .select("t", "key")
-    )
-    open_rows = stored(named.join(open_buckets, ["t", "key"]), "minhash-open")
-    rest = (
-        open_rows.alias("x")
-        .join(
-            open_rows.alias("y"),
-            (F.col("x.t") == F.col("y.t"))
-            & (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.node") > F.col("y.node"))
-            & (F.col("x.component") != F.col("y.component"))
-            & close_enough("x", "y"),
+    # Buckets that still hold several components get two more pivots, ...
+    open_rows = open_buckets(keyed, unique, member)
+    pivots = (
+        open_rows.groupBy("t", "key")
+        .agg(
+            *(
+                F.min(
+                    F.struct(F.xxhash64("node", "t", F.lit(k)).alias("h"), "node", "n", "component", "fine", "sketch")
+                ).alias(f"p{k}")
+                for k in (1, 2)
+            )
         )
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .distinct()
-        .join(stars.select("a", "b").distinct(), ["a", "b"], "left_anti")
+        .select("t", "key", F.explode(F.array("p1", "p2")).alias("p"))
+        .select("t", "key", "p.*")
     )
+    more = verified(cross_pairs(open_rows, pivots, F.lit(True)), usable)
+    edges = edges.union(more)
+    member = components(edges, "minhash-components")
+    # ... and what is left of them meets in full.
+    open_rows = open_buckets(keyed, unique, member)
+    rest = cross_pairs(open_rows, open_rows, (F.col("x.node") > F.col("y.node")) & first_table())
+    rest = rest.join(stars.select("a", "b").distinct(), ["a", "b"], "left_anti")
     edges = stored(edges.union(verified(rest, usable)), "minhash-edges")
     member = components(edges, "minhash-components")
     of_words = (
