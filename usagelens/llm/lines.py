@@ -82,7 +82,8 @@ def index_keys(line: Column, length: Column, edits: int) -> Column:
 
 
 def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of the substrings that can match a segment of a line ``0 .. edits`` shorter.
+    """Keys of the substrings that can match a segment of a line ``0 .. edits`` shorter,
+    other than the line's own segments, which match as index keys.
 
     Segment ``number`` may be shifted by as many places as segments lie before it, and, seen
     from the end, by as many as lie behind it.
@@ -94,6 +95,8 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
             start, size = segment(number, other, edits)
             behind = edits - number
             for shift in range(max(-number, shorter - behind), min(number, shorter + behind) + 1):
+                if shorter == shift == 0:
+                    continue  # the line's own index key
                 keys.append(F.xxhash64(F.lit(number), other, F.substring(line, start + shift, size)))
     return F.array(*keys)
 
@@ -104,9 +107,9 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     Bit d of mask e says that the first j + d - edits characters of ``a`` are within e edits
     of the first j of ``b``. A character of ``b`` moves all masks at once.
     """
-    x, y, width = F.split(a, ""), F.split(b, ""), (1 << (2 * edits + 1)) - 1
+    width = (1 << (2 * edits + 1)) - 1
 
-    def equal(character: Column, j: Column) -> Column:
+    def equal(x: Column, character: Column, j: Column) -> Column:
         out = F.lit(0)
         for d in range(2 * edits + 1):
             same = F.coalesce(F.get(x, j + (d - edits)) == character, F.lit(False))
@@ -136,7 +139,12 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
             found = F.when(bit == 1, e).otherwise(found)
         return found
 
-    distance = F.aggregate(F.transform(y, equal), first, step, reached)
+    # The one-element array binds the characters of ``a``, which are then split only once.
+    masks = F.transform(
+        F.array(F.split(a, "")),
+        lambda x: F.transform(F.split(b, ""), lambda character, j: equal(x, character, j)),
+    )[0]
+    distance = F.aggregate(masks, first, step, reached)
     return F.when(F.abs(F.char_length(a) - F.char_length(b)) <= edits, distance)
 
 
@@ -147,25 +155,33 @@ def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTES
     most documents is indexed once.
     """
     length = F.char_length("line")
-    texts = (
-        split_lines(documents)
-        .filter(length >= shortest)
-        .groupBy("h1", "h2")
-        .agg(F.first("line").alias("line"))
+    texts = split_lines(documents).select("line").filter(length >= shortest).distinct()
+    prepared = texts.select(
+        F.xxhash64("line").alias("h1"), "line", length.alias("n"), letter_counts(F.col("line")).alias("letters")
     )
-    prepared = texts.select("h1", "line", length.alias("n"), letter_counts(F.col("line")).alias("letters"))
-    index = prepared.select(
-        "h1", "letters", F.explode(index_keys(F.col("line"), F.col("n"), edits)).alias("key")
+    # Index and probe rows go through one shuffle; both sides of the join read it.
+    keys = prepared.select(
+        "h1",
+        "letters",
+        F.posexplode(
+            F.concat(
+                index_keys(F.col("line"), F.col("n"), edits), probe_keys(F.col("line"), F.col("n"), edits)
+            )
+        ).alias("k", "key"),
     )
-    probes = prepared.select(
-        "h1", "letters", F.explode(probe_keys(F.col("line"), F.col("n"), edits)).alias("key")
+    met = (
+        keys.withColumn("indexed", (F.col("k") <= edits).cast("int"))
+        .repartition("key")
+        .groupBy("key", "h1")
+        .agg(F.max("indexed").alias("indexed"), F.max("letters").alias("letters"))
     )
     pairs = stored(
-        probes.alias("x")
+        met.alias("x")
         .join(
-            index.alias("y"),
+            met.filter("indexed = 1").alias("y"),
             (F.col("x.key") == F.col("y.key"))
             & (F.col("x.h1") != F.col("y.h1"))
+            & ((F.col("x.indexed") == 0) | (F.col("x.h1") > F.col("y.h1")))
             & counts_agree(F.col("x.letters"), F.col("y.letters"), edits),
         )
         .select(F.greatest("x.h1", "y.h1").alias("a"), F.least("x.h1", "y.h1").alias("b"))
