@@ -6,7 +6,7 @@ text or on a bounded sample; Spark spreads the pieces.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import zstandard
@@ -44,6 +44,13 @@ def compressor(
     return zstandard.ZstdCompressor(compression_params=settings, dict_data=data)
 
 
+def decompressor(dictionary: bytes) -> Callable[[bytes, int], bytes]:
+    """Undoes ``compressor``; takes a frame and the most bytes it can hold."""
+    data = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+    by = zstandard.ZstdDecompressor(dict_data=data)
+    return lambda frame, most: by.decompress(frame, max_output_size=most)
+
+
 def lengths(by: zstandard.ZstdCompressor, pieces: Sequence[bytes]) -> np.ndarray:
     """Compressed length of every piece; an empty piece has length 0."""
     out = np.zeros(len(pieces), np.int64)

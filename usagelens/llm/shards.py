@@ -7,7 +7,7 @@ the slots write shards of a fixed stride: slot s lies in shard ``s // per_shard`
 ``(s % per_shard) * stride``. A reader can stop at a slot and go on from it.
 
 Texts are tokenised once; the tokens are stored, the number of sequences follows from one
-sum per task, and only the cut sequences are shuffled, compressed. A shard is written to a
+sum per task, and only the cut sequences are shuffled, once, compressed. A shard is written to a
 name of its own attempt and then moved, so a repeated task leaves the same file.
 
 Defined cases: a null or empty text gives its end mark alone; rows that repeat a doc_id, or
@@ -26,12 +26,12 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.llm import compression
 from usagelens.llm.common import checked
 from usagelens.session import scratch_path
 
@@ -42,7 +42,9 @@ PATTERN = (
 VOCABULARY, END = "/opt/tokenizers/byte_bpe_50k.tiktoken", 50256
 SEQUENCE, PER_SHARD = 2048, 4096
 KEY, ROUNDS = 20240131, 6
-PIECE = ["shard", "slot", "number", "at", "n", "doc_id", "piece"]
+# Starts of so many documents train the dictionary that packs the pieces for the shuffle.
+SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 600, 8192, 112640
+PIECE = ["shard", "slot", "number", "at", "doc_ids", "piece"]
 MANIFEST = ["slot", "shard", "byte_offset", "sequence", "n_tokens", "doc_ids", "crc32"]
 
 
@@ -116,7 +118,8 @@ def tokenised(documents: DataFrame, vocabulary: bytes, end: int = END) -> DataFr
     )
     spark = documents.sparkSession
     path = scratch_path(spark, "tokens")
-    stream.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9").parquet(path)
+    written = stream.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9")
+    written.option("parquet.page.size", str(8 << 20)).parquet(path)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -153,28 +156,43 @@ def write_shards(
     count, stride = -(-total // sequence), 2 * sequence
     shards = -(-count // per_shard)
 
+    samples = [bytes(r[0]) for r in tokens.select(F.substring("tokens", 1, SAMPLE_BYTES)).limit(SAMPLES).collect()]
+    words = compression.train(samples, DICTIONARY_BYTES)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer = zstandard.ZstdCompressor(level=6)
+        packer = compression.compressor(words, dict(compression_level=6))
+        number, at, parts, ids, rows = -1, 0, [], [], []
+
+        def piece() -> None:
+            if parts:
+                rows.append((number, at, ids, packer.compress(b"".join(parts))))
+
+        def placed() -> pd.DataFrame:
+            out = pd.DataFrame(rows, columns=PIECE[2:])
+            slot = permuted(out.number.to_numpy(np.int64), count, key)
+            return out.assign(slot=slot, shard=slot // per_shard)[PIECE]
+
         for batch in batches:
-            rows: list[tuple] = []
             for base, start, n, doc_id, data in zip(
                 batch.base, batch.start, batch.n, batch.doc_id, batch.tokens, strict=True
             ):
-                first = int(base + start)
-                numbers = np.arange(first // sequence, (first + int(n) - 1) // sequence + 1)
-                slots = permuted(numbers, count, key)
-                for number, slot in zip(numbers.tolist(), slots.tolist(), strict=True):
-                    lo, hi = max(first, number * sequence), min(first + int(n), (number + 1) * sequence)
-                    piece = packer.compress(data[2 * (lo - first) : 2 * (hi - first)])
-                    rows.append((slot // per_shard, slot, number, lo % sequence, hi - lo, doc_id, piece))
-                if len(rows) >= 4096:
-                    yield pd.DataFrame(rows, columns=PIECE)
+                first, last = int(base + start), int(base + start + n)
+                for q in range(first // sequence, (last - 1) // sequence + 1):
+                    lo, hi = max(first, q * sequence), min(last, (q + 1) * sequence)
+                    if q != number:
+                        piece()
+                        number, at, parts, ids = q, lo % sequence, [], []
+                    parts.append(data[2 * (lo - first) : 2 * (hi - first)])
+                    ids += [] if pd.isna(doc_id) else [int(doc_id)]
+                if len(rows) >= 2048:
+                    yield placed()
                     rows = []
-            yield pd.DataFrame(rows, columns=PIECE)
+        piece()
+        yield placed()
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = fs.FileSystem.from_uri(folder)
-        unpack = zstandard.ZstdDecompressor().decompress
+        unpack = compression.decompressor(words)
         current, target, name, done = None, None, "", []
         slot, number, held, ids = None, None, [], []
 
@@ -197,8 +215,8 @@ def write_shards(
                 store.move(name, f"{root}/shard-{current:06d}.bin")
 
         for batch in batches:
-            for shard, s, q, doc_id, piece in zip(
-                batch.shard, batch.slot, batch.number, batch.doc_id, batch.piece, strict=True
+            for shard, s, q, doc_ids, piece in zip(
+                batch.shard, batch.slot, batch.number, batch.doc_ids, batch.piece, strict=True
             ):
                 if s != slot:
                     finish_sequence()
@@ -208,9 +226,8 @@ def write_shards(
                         name = f"{root}/.shard-{current:06d}-{uuid.uuid4().hex}"
                         target = store.open_output_stream(name)
                     slot, number, held, ids = int(s), int(q), [], []
-                held.append(unpack(piece))
-                if not pd.isna(doc_id):
-                    ids.append(int(doc_id))
+                held.append(unpack(piece, 2 * sequence))
+                ids += doc_ids.tolist()
             if len(done) >= 4096:
                 yield pd.DataFrame(done, columns=MANIFEST)
                 done = []
@@ -221,11 +238,11 @@ def write_shards(
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
     pieces = tokens.join(checked(bases, 16), "part").mapInPandas(
-        cut, "shard long, slot long, number long, at int, n int, doc_id long, piece binary"
+        cut, "shard long, slot long, number long, at int, doc_ids array<long>, piece binary"
     )
     path = scratch_path(spark, "manifest")
     manifest = (
-        pieces.repartitionByRange(max(1, shards), "shard")
+        pieces.repartitionById(max(1, shards), F.col("shard").cast("int"))
         .sortWithinPartitions("slot", "at")
         .mapInPandas(
             write,
