@@ -23,20 +23,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import checked, components, stored, text_or_empty
+from usagelens.llm.common import checked, components, numbered, stored, text_or_empty
 
 EDITS, SHORTEST = 2, 20
 # Letters whose counts are compared; four bits of each count are kept.
 COUNTED = "entiaors"
 
 
+def trimmed(line: Column) -> Column:
+    return F.btrim(line, F.lit(" \t\r\x0b\x0c"))
+
+
 def split_lines(documents: DataFrame) -> DataFrame:
     """(row, doc_id, line_no, line, h1, h2): one row per line that is not blank."""
-    lines = documents.select(
-        F.monotonically_increasing_id().alias("row"),
+    lines = numbered(documents.select("doc_id", "text")).select(
+        "row",
         "doc_id",
         F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "line"),
-    ).withColumn("line", F.btrim("line", F.lit(" \t\r\x0b\x0c")))
+    ).withColumn("line", trimmed(F.col("line")))
     return lines.filter("line != ''").select(
         "row",
         "doc_id",
@@ -47,22 +51,29 @@ def split_lines(documents: DataFrame) -> DataFrame:
     )
 
 
-def letter_counts(line: Column) -> Column:
-    out = F.lit(0)
+def with_letters(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``letters``: four bits of the count of each letter.
+
+    Each letter is taken out of what the last one left, so later steps read less.
+    """
+    out, last, counts = lines, "line", F.lit(0)
     for k, letter in enumerate(COUNTED):
-        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(15)), 4 * k))
-    return out
+        out = out.withColumn(f"left{k}", F.replace(F.col(last), F.lit(letter), F.lit("")))
+        count = F.octet_length(last) - F.octet_length(f"left{k}")
+        counts = counts.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(15)), 4 * k))
+        last = f"left{k}"
+    return out.withColumn("letters", counts).drop(*(f"left{k}" for k in range(len(COUNTED))))
 
 
 def counts_agree(a: Column, b: Column, edits: int) -> Column:
-    total = F.lit(0)
+    """An edit brings one letter in and takes one out at most, so neither the gains nor the
+    losses add up to more than ``edits``."""
+    gains = losses = F.lit(0)
     for k in range(len(COUNTED)):
-        gap = F.abs(
-            F.shiftright(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * k).bitwiseAND(F.lit(15))
-        )
-        total = total + F.least(gap, 16 - gap)
-    return total <= 2 * edits
+        gap = F.shiftright(a, 4 * k).bitwiseAND(F.lit(15)) - F.shiftright(b, 4 * k).bitwiseAND(F.lit(15))
+        gap = (gap + 8).bitwiseAND(F.lit(15)) - 8
+        gains, losses = gains + F.greatest(gap, F.lit(0)), losses + F.greatest(-gap, F.lit(0))
+    return (gains <= edits) & (losses <= edits)
 
 
 def segment(number: int, length: Column, edits: int) -> tuple[Column, Column]:
@@ -73,11 +84,20 @@ def segment(number: int, length: Column, edits: int) -> tuple[Column, Column]:
     return start, base + (F.lit(number) >= count - longer).cast("int")
 
 
+def segment_key(number: int, line: Column, length: Column, start: Column, size: Column) -> Column:
+    """Hash of a segment's text. In an ASCII line, characters are bytes, which are cut without
+    counting; bytes and text hash alike."""
+    cut = F.when(
+        F.octet_length(line) == F.col("n"), F.substring(line.cast("binary"), start, size)
+    ).otherwise(F.substring(line, start, size).cast("binary"))
+    return F.xxhash64(F.lit(number), length, cut)
+
+
 def index_keys(line: Column, length: Column, edits: int) -> Column:
     keys = []
     for number in range(edits + 1):
         start, size = segment(number, length, edits)
-        keys.append(F.xxhash64(F.lit(number), length, F.substring(line, start, size)))
+        keys.append(segment_key(number, line, length, start, size))
     return F.array(*keys)
 
 
@@ -97,7 +117,7 @@ def probe_keys(line: Column, length: Column, edits: int) -> Column:
             for shift in range(max(-number, shorter - behind), min(number, shorter + behind) + 1):
                 if shorter == shift == 0:
                     continue  # the line's own index key
-                keys.append(F.xxhash64(F.lit(number), other, F.substring(line, start + shift, size)))
+                keys.append(segment_key(number, line, other, start + shift, size))
     return F.array(*keys)
 
 
@@ -148,7 +168,14 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.abs(F.char_length(a) - F.char_length(b)) <= edits, distance)
 
 
-def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
+def places_of(documents: DataFrame) -> DataFrame:
+    """Stored (row, doc_id, line_no, h1, h2), one row per line."""
+    return stored(split_lines(documents).select("row", "doc_id", "line_no", "h1", "h2"), "line-places")
+
+
+def near_lines(
+    documents: DataFrame, places: DataFrame, edits: int = EDITS, shortest: int = SHORTEST
+) -> DataFrame:
     """Stored links of different line texts within ``edits`` edits: (a, b, distance).
 
     A text is named by two hashes. Equal lines are combined before the shuffle, so a line of
@@ -156,10 +183,7 @@ def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTES
     """
     length = F.char_length("line")
     texts = split_lines(documents).select("line").filter(length >= shortest).distinct()
-    prepared = texts.select(
-        F.xxhash64("line").alias("h1"), "line", length.alias("n"), letter_counts(F.col("line")).alias("letters")
-    )
-    # Index and probe rows go through one shuffle; both sides of the join read it.
+    prepared = with_letters(texts.withColumn("n", length)).withColumn("h1", F.xxhash64("line"))
     keys = prepared.select(
         "h1",
         "letters",
@@ -169,19 +193,22 @@ def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTES
             )
         ).alias("k", "key"),
     )
+    # Index and probe rows go through one shuffle that both sides of the join read. The row
+    # number keeps the filter of the index side from being moved below it, which would make
+    # two shuffles of one.
     met = (
-        keys.withColumn("indexed", (F.col("k") <= edits).cast("int"))
+        keys.withColumn("indexed", F.col("k") <= edits)
+        .drop("k")
         .repartition("key")
-        .groupBy("key", "h1")
-        .agg(F.max("indexed").alias("indexed"), F.max("letters").alias("letters"))
+        .withColumn("number", F.monotonically_increasing_id())
     )
     pairs = stored(
         met.alias("x")
         .join(
-            met.filter("indexed = 1").alias("y"),
+            met.filter("indexed AND number >= 0").alias("y").hint("shuffle_hash"),
             (F.col("x.key") == F.col("y.key"))
             & (F.col("x.h1") != F.col("y.h1"))
-            & ((F.col("x.indexed") == 0) | (F.col("x.h1") > F.col("y.h1")))
+            & (~F.col("x.indexed") | (F.col("x.h1") > F.col("y.h1")))
             & counts_agree(F.col("x.letters"), F.col("y.letters"), edits),
         )
         .select(F.greatest("x.h1", "y.h1").alias("a"), F.least("x.h1", "y.h1").alias("b"))
@@ -192,11 +219,18 @@ def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTES
         pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct(),
         "line-names",
     )
-    needed = stored(
-        split_lines(documents)
-        .join(checked(names, 16), "h1")
+    # The text of each name, from the first document that has it.
+    wanted = stored(
+        places.join(checked(names, 16), "h1")
         .groupBy("h1", "h2")
-        .agg(F.first("line").alias("line")),
+        .agg(F.min(F.struct("row", "line_no")).alias("place"))
+        .select("h1", "h2", F.col("place.row").alias("row"), F.col("place.line_no").alias("line_no")),
+        "line-wanted",
+    )
+    needed = stored(
+        numbered(documents.select("text"))
+        .join(checked(wanted, 40), "row")
+        .select("h1", "h2", trimmed(F.element_at(F.split("text", "\n"), F.col("line_no") + 1)).alias("line")),
         "line-texts",
     )
     name = F.concat(F.hex("h1"), F.lit("-"), F.hex("h2"))
@@ -218,7 +252,8 @@ def line_classes(documents: DataFrame, edits: int = EDITS, shortest: int = SHORT
     The class is named by the doc_id and number of its first line; ``n_links`` counts the
     different texts linked directly to the line's text.
     """
-    links = near_lines(documents, edits, shortest)
+    occurrences = places_of(documents)
+    links = near_lines(documents, occurrences, edits, shortest)
     degree = (
         links.select("a").union(links.select("b")).groupBy(F.col("a").alias("name")).agg(
             F.count(F.lit(1)).alias("n_links")
@@ -232,9 +267,6 @@ def line_classes(documents: DataFrame, edits: int = EDITS, shortest: int = SHORT
         .withColumn("h2", F.conv(F.split_part("name", F.lit("-"), F.lit(2)), 16, -10).cast("long"))
         .drop("name")
     )
-    occurrences = stored(
-        split_lines(documents).select("row", "doc_id", "line_no", "h1", "h2"), "line-places"
-    )
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line_no")
     texts = occurrences.groupBy("h1", "h2").agg(F.min(place).alias("first"))
     named = stored(texts.join(checked(stored(member, "line-members"), 80), ["h1", "h2"], "left"), "line-texts")
@@ -271,13 +303,14 @@ def dedup_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTE
         .groupBy("row")
         .agg(F.collect_set("line_no").alias("dropped"))
     )
-    rows = documents.withColumn("row", F.monotonically_increasing_id())
+    dropped = dropped.withColumnRenamed("row", "line row").withColumnRenamed("dropped", "line numbers")
     rest = F.filter(
         F.split("text", "\n"),
-        lambda line, k: ~F.coalesce(F.array_contains("dropped", k), F.lit(False)),
+        lambda line, k: ~F.coalesce(F.array_contains("line numbers", k), F.lit(False)),
     )
     return (
-        rows.join(dropped, "row", "left")
+        numbered(documents, "line row")
+        .join(dropped, "line row", "left")
         .withColumn("text", F.when(F.col("text").isNotNull(), F.array_join(rest, "\n")))
         .select(*documents.columns)
     )
