@@ -23,7 +23,7 @@ from usagelens.plans import (
     retention,
     staging,
 )
-from usagelens.plans.model_checks import MODEL_CHECKS
+from usagelens.plans.model_checks import EVENT_TYPES, MODEL_CHECKS
 from usagelens.session import scratch_path, use_utc
 from usagelens.sources import registry as sources
 from usagelens.sources import sample_logs as logs
@@ -621,7 +621,7 @@ def _declared(model: str) -> Query:
     return lambda s, d: checks.run_checks(_MODELS[model](s, d), MODEL_CHECKS[model])
 
 
-for _model in ("stg_query_history", "stg_customer_events", "data_skew", "fct_quality_monitoring"):
+for _model in MODEL_CHECKS:
     query(f"checks_{_model}")(_declared(_model))
 
 
@@ -637,8 +637,7 @@ def repeated_orders(spark, sf):
 
 @query("check_accepted_values")
 def unknown_events(spark, sf):
-    accepted_types = ("signup", "purchase", "upgrade", "downgrade", "churn", "reactivation")
-    return checks.accepted_values(crm_events(spark, sf), "event_type", accepted_types)
+    return checks.accepted_values(crm_events(spark, sf), "event_type", EVENT_TYPES)
 
 
 @query("check_expression_is_true")

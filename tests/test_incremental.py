@@ -164,3 +164,11 @@ def test_staged_events_replace_by_lookback(spark, rows):
     raw = spark.createDataFrame([event("a", 0, "new"), event("b", 10, "new"), event("c", 4, "new"), event("d", 3.9, "new")], schema)
     second = staging.stg_customer_events(raw, first)
     assert rows(second, "event_id", "channel") == [("a", "old"), ("b", "new"), ("c", "new")]
+
+
+def test_snapshot_refuses_a_null_key(spark):
+    from datetime import datetime
+
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "k long, v string")
+    with pytest.raises(Exception, match="snapshot key k is NULL"):
+        incremental.snapshot_check(None, rows, "k", ["v"], datetime(2024, 1, 1)).collect()

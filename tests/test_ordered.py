@@ -80,3 +80,21 @@ def test_page_clamps_and_deep_pages_agree(spark):
     out_of_range, _ = ordered.page(df, ["ts", "id"], 10)
     assert out_of_range.collect() == ordered.page(df, ["ts", "id"], 0)[0].collect()
     assert ordered.page(df.limit(0), ["ts", "id"], 4)[1] == 1
+
+
+@pytest.mark.parametrize("kind", ["decimal(12,2)", "decimal(38,9)", "int", "double"])
+def test_running_sum_has_one_type_and_value_on_both_paths(spark, kind):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(400).select(
+        (F.col("id") % 3).alias("k"),
+        F.col("id").alias("o"),
+        (F.col("id") * F.lit(1.123456789).cast("decimal(20,9)")).cast(kind).alias("v"),
+    )
+    plain = ordered.running_sum(rows, ["k"], ["o"], "v", "total", slices=1)
+    cut = ordered.running_sum(rows, ["k"], ["o"], "v", "total", slices=7)
+    assert plain.schema["total"].dataType == cut.schema["total"].dataType
+    if kind == "double":
+        assert {r.o: round(r.total, 6) for r in plain.collect()} == {r.o: round(r.total, 6) for r in cut.collect()}
+    else:
+        assert {r.o: str(r.total) for r in plain.collect()} == {r.o: str(r.total) for r in cut.collect()}

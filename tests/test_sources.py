@@ -63,3 +63,22 @@ def test_sinks(spark):
 
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_conform_refuses_to_narrow(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    def declared(kind):
+        return T.StructType([T.StructField("x", kind)])
+
+    one = spark.range(1)
+    day = one.select(F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("x"))
+    fine = one.select(F.lit("1.23456789").cast("decimal(20,9)").alias("x"))
+    with pytest.raises(ValueError):
+        registry.conform(day, declared(T.DateType()))
+    with pytest.raises(ValueError):
+        registry.conform(fine, declared(T.DecimalType(20, 2)))
+    with pytest.raises(ValueError):
+        registry.conform(fine, declared(T.DecimalType(12, 9)))
+    assert registry.conform(fine, declared(T.DecimalType(38, 10))).first().x == fine.first().x

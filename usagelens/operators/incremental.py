@@ -103,8 +103,12 @@ def snapshot_check(
 
     New keys open a version; a changed key closes its open version at ``as_of`` and opens
     another; a key that disappeared stays open. Running again with the same input changes
-    nothing. One join of the open versions against the current rows does all of it.
+    nothing. A NULL key cannot be followed and is an error. One join of the open versions
+    against the current rows does all of it.
     """
+    missing = F.raise_error(F.lit(f"snapshot key {key} is NULL"))
+    kind = current.schema[key].dataType
+    current = current.withColumn(key, F.coalesce(key, missing.cast(kind)))
     columns = current.columns
     versioned = [*columns, "scd_id", "updated_at", "valid_from", "valid_to"]
     stamp = at(as_of)

@@ -15,6 +15,7 @@ from functools import cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BYTES = 64 * 1024 * 1024
 SLICE_ROWS = 250_000
@@ -141,6 +142,14 @@ def lag_by_key(
     return local.join(carried, [_KEY, _SLICE], "left").select(*df.columns, previous.alias(alias))
 
 
+def _added(a: Column, b: Column, kind: T.DataType) -> Column:
+    """``a + b`` in ``kind``. Two decimals of full width would give up a digit behind the point
+    for the carry; a digit less before it keeps all of them."""
+    if isinstance(kind, T.DecimalType) and kind.precision == T.DecimalType(38).precision:
+        kind = T.DecimalType(kind.precision - 1, kind.scale)
+    return a.cast(kind) + b.cast(kind)
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -159,9 +168,9 @@ def running_sum(
     before = totals.select(_KEY, _SLICE, F.sum("_total").over(earlier).alias("_before"))
     window = _window([_KEY, _SLICE], order).rowsBetween(*_ROWS_SO_FAR)
     local = sliced.select("*", F.sum(value).over(window).alias("_local"))
-    so_far = F.coalesce(
-        F.col("_before") + F.col("_local"), F.col("_local"), F.col("_before")
-    )
+    # The type of the plain window, whatever the sum of sums would have.
+    kind = df.select(F.sum(value).alias(alias)).schema[alias].dataType
+    so_far = F.coalesce(_added(F.col("_before"), F.col("_local"), kind), "_local", "_before").cast(kind)
     return local.join(before, [_KEY, _SLICE], "left").select(*df.columns, so_far.alias(alias))
 
 

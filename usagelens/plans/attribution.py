@@ -98,7 +98,8 @@ def attribute_query_tags(
     ranking = [F.length("tag_pattern").desc(), F.col("tag_pattern").asc()]
     top = distinct_rules.orderBy(*ranking).limit(ladder_rules + 1).collect()
     if len(top) > ladder_rules:
-        return qh.join(_match_in_pieces(qh, distinct_rules, ladder_rules), "query_tag", "left")
+        matched = _match_in_pieces(qh, distinct_rules, ladder_rules)
+        return qh.join(matched, "query_tag", "left").select(*qh.columns, *_RULE_FIELDS)
 
     def value(rule) -> Column:
         return F.struct(*[F.lit(rule[f]).cast("string").alias(f) for f in _RULE_FIELDS])

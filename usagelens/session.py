@@ -60,8 +60,8 @@ def utc_now() -> datetime:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (unit tests on one machine) falls back to a
-    temporary folder.
+    A session that names none and runs in one process, as in tests, gets a temporary folder;
+    on a cluster that would be a different folder on every machine, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -69,7 +69,10 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rsplit("/", 1)[0]
-    return os.path.join(tempfile.gettempdir(), "usagelens")
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        return os.path.join(tempfile.gettempdir(), "usagelens")
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -47,10 +47,18 @@ _WIDENING = {
     ("smallint", "bigint"),
     ("float", "double"),
     ("timestamp", "timestamp_ntz"),
-    ("timestamp_ntz", "date"),
 }
 
 
+def _widens(have: T.DataType, want: T.DataType) -> bool:
+    """Whether every value of ``have`` is one of ``want``."""
+    if isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType):
+        whole = have.precision - have.scale <= want.precision - want.scale
+        return whole and have.scale <= want.scale
+    pair = (have.simpleString(), want.simpleString())
+    return pair in _WIDENING or isinstance(have, T.NullType)
+
+
 def conform(df: DataFrame, schema: T.StructType, name: str = "source") -> DataFrame:
     """Project onto the declared columns; a missing or incompatible column is an error."""
     found = {field.name: field.dataType for field in df.schema.fields}
@@ -62,10 +70,10 @@ def conform(df: DataFrame, schema: T.StructType, name: str = "source") -> DataFr
         if have == want:
             columns.append(F.col(field.name))
             continue
-        both_decimal = isinstance(have, T.DecimalType) and isinstance(want, T.DecimalType)
-        pair = (have.simpleString(), want.simpleString())
-        if not (both_decimal or pair in _WIDENING or isinstance(have, T.NullType)):
-            raise ValueError(f"{name}: column {field.name} is {pair[0]}, expected {pair[1]}")
+        if not _widens(have, want):
+            raise ValueError(
+                f"{name}: column {field.name} is {have.simpleString()}, expected {want.simpleString()}"
+            )
         columns.append(F.col(field.name).cast(want).alias(field.name))
     return df.select(columns)
 
