@@ -16,6 +16,7 @@ from usagelens.plans import (
     access,
     alerts,
     attribution,
+    build,
     cost,
     performance,
     quality,
@@ -429,6 +430,43 @@ def snapshot(spark, sf):
     return incremental.snapshot_check(history, after, "user_id", tracked, datetime(2024, 1, 31))
 
 
+# --- table loaders: an empty first load, then the same load twice ------------------------
+
+
+@query("load_query_history")
+def loaded_queries(spark, sf):
+    source, location = logs.query_history(spark, sf), scratch_path(spark, "load-queries")
+    for rows in (source.where(F.lit(False)), source, source):
+        table = build.load_query_history(spark, rows, location, AS_OF)
+    return table
+
+
+@query("load_customer_events")
+def loaded_events(spark, sf):
+    source, location = logs.customer_events(spark, sf), scratch_path(spark, "load-events")
+    for rows in (source.where(F.lit(False)), source, source):
+        table = build.load_customer_events(spark, rows, location)
+    return table
+
+
+@query("load_snapshot")
+def loaded_snapshot(spark, sf):
+    raw, location = logs.raw_users(spark, sf), scratch_path(spark, "load-snapshot")
+    key, tracked = F.col("user_id"), ["country", "plan", "status"]
+    after = raw.where(key % 10 != 8).withColumn(
+        "plan", F.when(key % 5 == 0, "CHANGED").otherwise(F.col("plan"))
+    )
+    runs = (
+        (raw.where(F.lit(False)), datetime(2023, 12, 31)),
+        (raw.where(key % 10 != 9), datetime(2024, 1, 1)),
+        (after, datetime(2024, 1, 31)),
+        (after, datetime(2024, 2, 1)),
+    )
+    for rows, as_of in runs:
+        table = build.load_snapshot(spark, rows, location, "user_id", tracked, as_of)
+    return table
+
+
 @query("changed_keys")
 def key_diff(spark, sf):
     raw = logs.raw_users(spark, sf)
@@ -663,6 +701,13 @@ def _run(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{root}/data")
 
 
+def _windows(aggregate: DataFrame, keys: list[str]) -> DataFrame:
+    """Every window's last state."""
+    log = ingest.EventLog(aggregate.sparkSession, scratch_path(aggregate.sparkSession, "windows"), "window_key")
+    ingest.upsert_windows(aggregate, log, keys).awaitTermination()
+    return log.current().drop("window_key")
+
+
 @query("stream_landing")
 def landed(spark, sf):
     columns = {"event_id": "id", "event_type": "kind", "ts": "ts"}
@@ -678,13 +723,14 @@ def volume_stream(spark, sf):
         F.concat(F.lit("DB.S.T"), (F.col("k") % 5).cast("string")).alias("full_table_name"),
         F.col("k").cast("long").alias("rows_inserted"),
     )
-    return _run(windows.hourly_volume(stream, "ts", "full_table_name", "rows_inserted"), "volume")
+    volume = windows.hourly_volume(stream, "ts", "full_table_name", "rows_inserted")
+    return _windows(volume, ["window_start", "full_table_name"])
 
 
 @query("stream_failed_logins")
 def login_stream(spark, sf):
     stream = logs.logins_of(logs.event_stream(spark, sf))
-    return _run(windows.failed_logins(stream, n=2, window="1 hour"), "logins")
+    return _windows(windows.failed_logins(stream, n=2, window="1 hour"), ["window_start", "user_name"])
 
 
 @query("stream_activity_sessions")
@@ -702,9 +748,23 @@ def first_stream(spark, sf):
 
 @query("stream_event_log")
 def event_log_stream(spark, sf):
+    log = ingest.EventLog(spark, scratch_path(spark, "event-log"), "event_id")
+    stream = staging.typed_events(logs.event_values(logs.event_stream(spark, sf)))
+    # The second stream starts from a checkpoint of its own and reads everything again.
+    for name in ("first", "second"):
+        checkpoint = f"{log.root}/checkpoint-{name}"
+        ingest.ingest_events(stream, log, "event_timestamp", checkpoint=checkpoint).awaitTermination()
+    return log.current()
+
+
+@query("stream_backfill")
+def backfilled_stream(spark, sf):
+    """The sign-ups of the second week take the place of all its rows."""
     log = ingest.EventLog(spark, scratch_path(spark, "event-log"), "event_id")
     stream = staging.typed_events(logs.event_values(logs.event_stream(spark, sf)))
     ingest.ingest_events(stream, log, "event_timestamp").awaitTermination()
+    again = crm_events(spark, sf).where(F.col("event_type") == "signup")
+    log.backfill(again, "event_timestamp", datetime(2024, 1, 8), datetime(2024, 1, 15))
     return log.current()
 
 

@@ -42,10 +42,57 @@ def test_event_log_replaces_by_key(spark, rows):
     assert ("a", "newest") in rows(log.current(), "event_id", "v")
     again = spark.createDataFrame([("a", at(12), "newest")], EVENTS)
     before = rows(log.current())
-    log.store(again, 2)   # replay of the last batch
+    log.store(again, 2)   # the same batch once more
+    log.store(again, 2)
     assert rows(log.current()) == before
 
 
+def test_event_log_survives_a_new_checkpoint(spark, rows):
+    folder, root = scratch_path(spark, "push"), scratch_path(spark, "log")
+    push(spark, folder, "1", [("a", at(1), "x"), ("b", at(2), "x")])
+    log = ingest.EventLog(spark, root, "event_id")
+    assert log.current() is None
+    for name in ("one", "two"):
+        stream = ingest.ingest_events(
+            reader(spark, folder), log, "event_timestamp", timedelta(minutes=30), checkpoint=f"{root}/{name}"
+        )
+        stream.awaitTermination()
+        assert rows(log.current(), "event_id", "v") == [("a", "x"), ("b", "x")]
+
+
+def test_backfill_replaces_its_range_only(spark, rows):
+    log = ingest.EventLog(spark, scratch_path(spark, "log"), "event_id")
+    log.store(spark.createDataFrame([("a", at(1), "x"), ("b", at(5), "x"), ("c", at(9), "x"), (None, at(6), "x")], EVENTS), 0)
+    log.backfill(spark.createDataFrame([("d", at(6), "new"), ("a", at(1), "outside")], EVENTS), "event_timestamp", at(5), at(8))
+    assert rows(log.current(), "event_id", "v") == [("a", "x"), ("c", "x"), ("d", "new")]
+    log.store(spark.createDataFrame([("b", at(5), "later")], EVENTS), 1)
+    assert ("b", "later") in rows(log.current(), "event_id", "v")
+
+
+def test_open_windows_are_kept_and_late_rows_counted(spark, rows):
+    from usagelens.streaming import windows
+
+    schema = "event_timestamp timestamp_ntz, user_name string, is_success string"
+    folder, root = scratch_path(spark, "push"), scratch_path(spark, "windows")
+
+    def load(name, *hours):
+        data = [(at(h), "u", "NO") for h in hours]
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/{name}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+        log = ingest.EventLog(spark, root, "window_key")
+        counts = windows.failed_logins(stream, n=1, window="1 hour")
+        query = ingest.upsert_windows(counts, log, ["window_start", "user_name"])
+        query.awaitTermination()
+        return query, log.current()
+
+    load("1", 0.1, 0.2, 5.5)
+    query, now = load("2", 5.6, 6.1)
+    assert rows(now, "window_start", "failures") == [(at(0), 2), (at(5), 2), (at(6), 1)]
+    assert ingest.late_rows(query) == 0
+    query, now = load("3", 0.3)
+    assert ingest.late_rows(query) == 1 and rows(now, "failures") == [(1,), (2,), (2,)]
+
+
 def test_event_log_without_lookback_keeps_late_rows(spark, rows):
     folder, root = scratch_path(spark, "push"), scratch_path(spark, "log")
     push(spark, folder, "1", [("a", at(100), "x")])

@@ -16,8 +16,8 @@ from usagelens.plans.model_checks import MODEL_CHECKS
 from usagelens.session import Settings, scratch_path
 from usagelens.sources.sinks import (
     overwrite_partitions,
-    path_exists,
     replace_keys,
+    table_or_none,
     write_table,
 )
 
@@ -41,26 +41,35 @@ def load_query_history(
     ``start_times_fixed`` (the source never restates when a query began) it looks for its
     keys in the days of the lookback only.
     """
-    target = spark.read.parquet(location) if path_exists(spark, location) else None
-    newest = high_water_mark(target, "start_time")
-    lookback = timedelta(days=cfg.lookback_days)
-    start = as_of - timedelta(days=cfg.window_days) if newest is None else newest - lookback
-    batch = staging.clean_queries(src.where(F.col("start_time") >= at(start)))
-    dated = batch.withColumn("start_day", F.col("start_time").cast("date"))
+
+
+    def dated_since(start: datetime) -> DataFrame:
+        batch = staging.clean_queries(src.where(F.col("start_time") >= at(start)))
+        return batch.withColumn("start_day", F.col("start_time").cast("date"))
+
+    first = as_of - timedelta(days=cfg.window_days)
+    schema = dated_since(first).schema
+    newest = high_water_mark(table_or_none(spark, location, schema), "start_time")
+    start = first if newest is None else newest - timedelta(days=cfg.lookback_days)
+    dated = dated_since(start)
     since = start.date() if start_times_fixed else None
     replace_keys(spark, location, dated, ["query_id"], "start_day", since)
-    return spark.read.parquet(location).drop("start_day")
+    return spark.read.schema(schema).parquet(location).drop("start_day")
 
 
 def load_customer_events(
     spark: SparkSession, raw: DataFrame, location: str, cfg: Settings = Settings()
 ) -> DataFrame:
     """Incremental staging table of customer events, partitioned by event day."""
-    target = spark.read.parquet(location) if path_exists(spark, location) else None
-    batch = staging.new_events(raw, target, cfg.event_lookback_hours)
-    dated = batch.withColumn("event_day", F.col("event_timestamp").cast("date"))
-    replace_keys(spark, location, dated, ["event_id"], "event_day")
-    return spark.read.parquet(location).drop("event_day")
+
+    def dated(events: DataFrame) -> DataFrame:
+        return events.withColumn("event_day", F.col("event_timestamp").cast("date"))
+
+    schema = dated(staging.new_events(raw, None, cfg.event_lookback_hours)).schema
+    target = table_or_none(spark, location, schema)
+    batch = dated(staging.new_events(raw, target, cfg.event_lookback_hours))
+    replace_keys(spark, location, batch, ["event_id"], "event_day")
+    return spark.read.schema(schema).parquet(location).drop("event_day")
 
 
 def load_snapshot(
@@ -80,16 +89,17 @@ def load_snapshot(
     """
     versions = f"{location}/versions"
     is_open = F.col("closed_in") == "open"
-    known = spark.read.parquet(versions) if path_exists(spark, versions) else None
-    history = None if known is None else known.where(is_open).drop("closed_in")
     closed_in = F.when(F.col("valid_to").isNull(), "open").otherwise(f"run {as_of:%Y%m%dT%H%M%S}")
+    schema = snapshot_check(None, current, key, check_cols, as_of).withColumn("closed_in", closed_in).schema
+    known = table_or_none(spark, versions, schema)
+    history = None if known is None else known.where(is_open).drop("closed_in")
     moved = snapshot_check(history, current, key, check_cols, as_of).withColumn("closed_in", closed_in)
     staged = scratch_path(spark, "snapshot")
     overwrite_partitions(moved, staged, "closed_in")
     fresh = spark.read.schema(moved.schema).parquet(staged)
     overwrite_partitions(fresh.where(~is_open), versions, "closed_in")
     overwrite_partitions(fresh.where(is_open), versions, "closed_in")
-    return spark.read.parquet(versions).drop("closed_in")
+    return spark.read.schema(schema).parquet(versions).drop("closed_in")
 
 
 def build_marts(

@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.functions.temporal import at
 from usagelens.session import scratch_path
@@ -42,17 +43,18 @@ def append_audit(rows: DataFrame, location: str) -> None:
     append(rows, location)
 
 
-def overwrite_partitions(batch: DataFrame, location: str, part_col: str) -> None:
+def overwrite_partitions(batch: DataFrame, location: str, part_col: str | Sequence[str]) -> None:
     """Replace exactly the partitions present in ``batch``.
 
     The rebalance hint lets adaptive execution split a partition value that holds a
     large share of the rows over several files and tasks.
     """
+    columns = [part_col] if isinstance(part_col, str) else list(part_col)
     (
-        batch.hint("rebalance", part_col)
+        batch.hint("rebalance", *columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part_col)
+        .partitionBy(*columns)
         .parquet(location)
     )
 
@@ -63,6 +65,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def table_or_none(spark: SparkSession, location: str, schema: T.StructType) -> DataFrame | None:
+    """The table read with its declared schema, or None before its first row.
+
+    A folder that an empty load or a write that died has left without data files is a table
+    without rows: the next load is a first run.
+    """
+    if not path_exists(spark, location):
+        return None
+    table = spark.read.schema(schema).parquet(location)
+    return None if table.isEmpty() else table
+
+
 def replace_keys(
     spark: SparkSession,
     location: str,
@@ -79,10 +93,10 @@ def replace_keys(
     before anything is replaced, so a write that dies half-way can be run again. Returns the
     partition values rewritten.
     """
-    if not path_exists(spark, location):
+    target = table_or_none(spark, location, batch.schema)
+    if target is None:
         overwrite_partitions(batch, location, part_col)
         return []
-    target = spark.read.parquet(location)
     keys = batch.select(*key).distinct()
     searched = target if since is None else target.where(F.col(part_col) >= F.lit(since))
     holding = searched.select(*key, part_col).join(keys, list(key), "left_semi").select(part_col)

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from usagelens.functions.temporal import at
 from usagelens.operators.incremental import incremental_window
 from usagelens.operators.ordered import latest_by_key
 from usagelens.sources.sinks import VersionedTable, overwrite_partitions, path_exists
@@ -50,61 +54,145 @@ def land(
 class EventLog:
     """Append-only log of micro-batches with replace-by-key semantics on read.
 
-    Storing a batch writes only the batch: its own partition, overwritten as a whole, so
-    a replayed batch leaves the log as it was. Reading keeps, per key, all rows of the
-    newest batch the key occurs in, which is what deleting the batch's keys and inserting
-    the batch would have left. ``VersionedTable.swap`` publishes a compacted copy.
+    Storing a batch writes only the batch: a partition of its own run and number, overwritten
+    as a whole, so a replayed batch leaves the log as it was and a second stream, or one with
+    a new checkpoint, overwrites nothing. Reading keeps, per key, all rows of the batch stored
+    last in which the key occurs, which is what deleting the batch's keys and inserting the
+    batch would have left. ``VersionedTable.swap`` publishes a compacted copy.
     """
 
+    _OWN = ("run", "batch_id", "stored_at")
+
     def __init__(self, spark: SparkSession, root: str, key: str):
         self._spark = spark
         self.root = root.rstrip("/")
         self.key = key
         self._data = f"{self.root}/log"
+        self._marks = f"{self.root}/marks"
+        self._cuts = f"{self.root}/cuts"
 
-    def store(self, batch: DataFrame, batch_id: int) -> None:
-        numbered = batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        overwrite_partitions(numbered, self._data, "batch_id")
+    def _read(self, path: str) -> DataFrame | None:
+        """A table, or None before its first row: batches without rows leave no data file."""
+        if not path_exists(self._spark, path):
+            return None
+        try:
+            return self._spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            return None
+
+    def store(self, batch: DataFrame, batch_id: int, run: str = "direct", ts_col: str | None = None) -> None:
+        """Write one batch; with ``ts_col`` also its newest time, to a table of one row a batch."""
+        own = {
+            "run": F.lit(run),
+            "batch_id": F.lit(batch_id).cast("long"),
+            "stored_at": F.lit(time.time_ns()).cast("long"),
+        }
+        overwrite_partitions(batch.withColumns(own), self._data, ["run", "batch_id"])
+        if ts_col is not None:
+            mark = batch.agg(F.max(ts_col).alias("newest")).withColumns(own)
+            overwrite_partitions(mark, self._marks, ["run", "batch_id"])
+
+    def newest(self, ts_col: str, run: str, batch_id: int) -> DataFrame | None:
+        """Newest times of all batches but this one and later ones of its run, as ``ts_col``."""
+        marks = self._read(self._marks)
+        if marks is None:
+            return None
+        later = (F.col("run") == run) & (F.col("batch_id") >= batch_id)
+        return marks.where(~later).select(F.col("newest").alias(ts_col))
+
+    def backfill(self, batch: DataFrame, ts_col: str, start: datetime, end: datetime) -> None:
+        """From now on the rows of ``[start, end)`` are those of ``batch``, beside any stream."""
+        inside = (F.col(ts_col) >= at(start)) & (F.col(ts_col) < at(end))
+        cut = self._spark.range(1).select(
+            F.lit(time.time_ns()).cast("long").alias("cut_at"),
+            at(start).alias("cut_from"),
+            at(end).alias("cut_to"),
+            F.lit(ts_col).alias("cut_column"),
+        )
+        self.store(batch.where(inside), 0, f"backfill-{uuid.uuid4().hex}")
+        cut.write.mode("append").parquet(self._cuts)
 
-    def current(self, before_batch: int | None = None) -> DataFrame | None:
-        if not path_exists(self._spark, self._data):
+    def current(self) -> DataFrame | None:
+        log = self._read(self._data)
+        if log is None:
             return None
-        log = self._spark.read.parquet(self._data)
-        if before_batch is not None:
-            log = log.where(F.col("batch_id") < before_batch)
+        cuts = self._read(self._cuts)
+        if cuts is not None:
+            # One row per backfill.
+            for row in cuts.collect():
+                inside = (F.col(row.cut_column) >= at(row.cut_from)) & (F.col(row.cut_column) < at(row.cut_to))
+                log = log.where(~F.coalesce(inside & (F.col("stored_at") < row.cut_at), F.lit(False)))
+        place = F.struct("stored_at", "run", "batch_id")
         newest = (
-            log.where(F.col(self.key).isNotNull())
-            .groupBy(self.key)
-            .agg(F.max("batch_id").alias("_newest"))
+            log.where(F.col(self.key).isNotNull()).groupBy(self.key).agg(F.max(place).alias("_newest"))
         )
-        kept = F.col(self.key).isNull() | (F.col("batch_id") == F.col("_newest"))
-        columns = [c for c in log.columns if c != "batch_id"]
+        kept = F.col(self.key).isNull() | (place == F.col("_newest"))
+        columns = [c for c in log.columns if c not in self._OWN]
         return log.join(newest, self.key, "left").where(kept).select(*columns)
 
 
+def _run_of(batch: DataFrame) -> str:
+    """Id of the streaming query a micro-batch belongs to; it lives as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 def ingest_events(
     stream: DataFrame,
     log: EventLog,
     ts_col: str,
     lookback: timedelta | None = timedelta(hours=6),
     every: str | None = None,
+    checkpoint: str | None = None,
 ) -> StreamingQuery:
     """Keyed replace of pushed event files, batch by batch.
 
-    With a ``lookback``, rows older than that before the log's newest row are not loaded;
-    ``None`` loads late rows whatever their age and spares the look at the log.
+    With a ``lookback``, rows older than that before the newest row of the earlier batches
+    are not loaded; that row is looked up in a table of one row per batch. ``None`` loads
+    late rows whatever their age.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
+        run = _run_of(batch)
         if lookback is not None:
             # Earlier batches only: a replay must see the log as the first attempt did.
-            batch = batch.where(incremental_window(log.current(batch_id), ts_col, lookback))
-        log.store(batch, batch_id)
+            marks = log.newest(ts_col, run, batch_id)
+            batch = batch.where(incremental_window(marks, ts_col, lookback))
+        log.store(batch, batch_id, run, ts_col)
 
-    writer = stream.writeStream.option("checkpointLocation", f"{log.root}/checkpoint")
+    writer = stream.writeStream.option("checkpointLocation", checkpoint or f"{log.root}/checkpoint")
     return _triggered(writer.foreachBatch(store), every).start()
 
 
+def upsert_windows(
+    aggregate: DataFrame, log: EventLog, keys: Sequence[str], every: str | None = None
+) -> StreamingQuery:
+    """Windowed counts as they stand, open windows included.
+
+    Every micro-batch writes the windows it changed; ``log``, keyed by ``window_key``, keeps
+    the last state of each.
+    """
+    key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        log.store(batch.withColumn("window_key", key), batch_id, _run_of(batch))
+
+    writer = aggregate.writeStream.outputMode("update").option(
+        "checkpointLocation", f"{log.root}/checkpoint"
+    )
+    return _triggered(writer.foreachBatch(store), every).start()
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a finished query dropped because they came behind the watermark."""
+    return sum(
+        operator.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
 def refresh_latest(
     stream: DataFrame,
     table: VersionedTable,
