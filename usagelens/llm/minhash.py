@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from usagelens.llm.common import checked, components, numbered, stored
+from usagelens.llm.common import checked, components, numbered, small_batches, stored
 
 SHINGLE, THRESHOLD = 5, 0.8
 # A pair at the threshold shares a key of one table with probability 0.8 ** PER_KEY, so all
@@ -208,7 +208,8 @@ def hashed(documents: DataFrame) -> DataFrame:
     kinds = kinds.add("h1", "long").add("h2", "long").add("n", "integer")
     kinds = kinds.add("keys", ArrayType(LongType())).add("sketch", ArrayType(LongType()))
     kinds = kinds.add("fine", ArrayType(LongType()))
-    return stored(source.mapInPandas(run, kinds), "minhash")
+    with small_batches(documents.sparkSession):
+        return stored(source.mapInPandas(run, kinds), "minhash")
 
 
 def close_enough(a: str, b: str) -> Column:
@@ -283,7 +284,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = pairs.join(
         needed.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a"
     ).join(needed.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
-    return stored(both.mapInPandas(run, EDGE_SCHEMA), "minhash-edges")
+    with small_batches(pairs.sparkSession, 64):
+        return stored(both.mapInPandas(run, EDGE_SCHEMA), "minhash-edges")
 
 
 def open_buckets(keyed: DataFrame, unique: DataFrame, member: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import compression
-from usagelens.llm.common import checked
+from usagelens.llm.common import checked, small_batches
 from usagelens.session import scratch_path
 
 # Split pattern of the byte-level vocabulary: a fixed value.
@@ -119,7 +119,8 @@ def tokenised(documents: DataFrame, vocabulary: bytes, end: int = END) -> DataFr
     spark = documents.sparkSession
     path = scratch_path(spark, "tokens")
     written = stream.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", "9")
-    written.option("parquet.page.size", str(8 << 20)).parquet(path)
+    with small_batches(spark):
+        written.option("parquet.page.size", str(8 << 20)).parquet(path)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -250,7 +251,8 @@ def write_shards(
             " doc_ids array<long>, crc32 long",
         )
     )
-    manifest.write.parquet(path)
+    with small_batches(spark, 1024):
+        manifest.write.parquet(path)
     settings = dict(sequence=sequence, per_shard=per_shard, sequences=count, tokens=total, end=end, key=key)
     with store.open_output_stream(f"{root}/shards.json") as out:
         out.write(json.dumps(settings).encode())

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import compression
-from usagelens.llm.common import checked, numbered, stored
+from usagelens.llm.common import checked, numbered, small_batches, stored
 
 # Labelled documents of a class that are learnt from, and ordinary windows the background is
 # trained on.
@@ -201,7 +201,8 @@ def accepted(documents: DataFrame, model: Model, reject_from: float = PREDICT_FR
     ``documents`` is a stored table; the rejected rows are the small side of the join.
     """
     scored = score(numbered(documents.select("text"), "toxic row"), model, ["toxic row"])
-    rejected = stored(scored.filter(F.col("score") >= reject_from).select("toxic row"), "toxic-rows")
+    with small_batches(documents.sparkSession):
+        rejected = stored(scored.filter(F.col("score") >= reject_from).select("toxic row"), "toxic-rows")
     return numbered(documents, "toxic row").join(checked(rejected, 16), "toxic row", "left_anti").select(
         *documents.columns
     )
