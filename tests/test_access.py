@@ -128,3 +128,13 @@ def test_audit_search(spark):
     found, pages = audit_search(log, "U", env="DEV", page=2)
     assert pages == 3 and [r.role_assigned for r in found.collect()] == ["4", "3", "2", "1", "0"]
     assert audit_search(log, "U' OR '1'='1")[0].count() == 0
+
+
+def test_levels_do_not_depend_on_the_block_size(spark, rows, monkeypatch):
+    held = spark.createDataFrame(
+        [("u", "FIN_ADMIN_DEV"), ("u", "MKT_READER_UAT"), ("v", "ANA_READER"), ("w", "NOBODY")], "user string, role string"
+    )
+    users = spark.createDataFrame([("u",), ("v",), ("w",), ("x",)], "user string")
+    whole = rows(access.domain_grant_levels(held, users))
+    monkeypatch.setattr(access, "PLACES_PER_BLOCK", 3)
+    assert rows(access.domain_grant_levels(held, users)) == whole

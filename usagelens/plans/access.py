@@ -78,6 +78,10 @@ def role_name(domain: Column, env: Column, tier: str) -> Column:
     return F.concat(prefix, F.lit(f"_{tier}"), suffix)
 
 
+# Bits of a long that stand for places.
+PLACES_PER_BLOCK = 62
+
+
 def _level_role(level: Column, domain: Column, env: Column) -> Column:
     return F.when(level == "select", role_name(domain, env, "READER")).otherwise(
         role_name(domain, env, "ADMIN")
@@ -90,35 +94,35 @@ def domain_grant_levels(
     """``all``, ``select`` or ``none`` for every user, domain and environment.
 
     A user's admin and reader roles become one bit per place, gathered with partial
-    aggregation, so a user with very many grants sends two numbers to the shuffle. The
-    places are then spelled out from a constant array.
+    aggregation, so a user with very many grants sends two numbers per block of places to the
+    shuffle. The places are then spelled out from a constant array.
     """
     combos = [(d, e) for d in domains for e in ENV_SUFFIXES]
-    if len(combos) > 63:
-        raise ValueError("more domain and environment combinations than bits in a long")
+    places = [(i // PLACES_PER_BLOCK, 1 << i % PLACES_PER_BLOCK, *combo) for i, combo in enumerate(combos)]
     known = [
-        (f"{DOMAIN_PREFIXES[d]}_{tier}{ENV_SUFFIXES[e]}", bit * (tier == "ADMIN"), bit * (tier == "READER"))
-        for bit, (d, e) in ((1 << i, combo) for i, combo in enumerate(combos))
+        (f"{DOMAIN_PREFIXES[d]}_{tier}{ENV_SUFFIXES[e]}", block, bit * (tier == "ADMIN"), bit * (tier == "READER"))
+        for block, bit, d, e in places
         for tier in ("ADMIN", "READER")
     ]
     # Two roles per place: a table of constant size.
     bits = user_roles.sparkSession.range(1).select(
-        F.inline(constant_rows(["role", "admin", "reader"], known))
+        F.inline(constant_rows(["role", "block", "admin", "reader"], known))
     )
+    blocks = range(places[-1][0] + 1 if places else 0)
+
+    def per_block(mask: str) -> Column:
+        return F.array(*[F.bit_or(F.when(F.col("block") == b, F.col(mask))) for b in blocks]).alias(mask)
+
     held = (
-        user_roles.join(F.broadcast(bits), "role")
-        .groupBy("user")
-        .agg(F.bit_or("admin").alias("admin"), F.bit_or("reader").alias("reader"))
-    )
-    grid = constant_rows(
-        ["bit", "domain", "env"], [(1 << i, d, e) for i, (d, e) in enumerate(combos)]
+        user_roles.join(F.broadcast(bits), "role").groupBy("user").agg(per_block("admin"), per_block("reader"))
     )
+    grid = constant_rows(["block", "bit", "domain", "env"], places)
     spelled = users.select("user").distinct().join(held, "user", "left").select(
         "user", "admin", "reader", F.inline(grid)
     )
 
     def holds(mask: str) -> Column:
-        return F.col(mask).bitwiseAND(F.col("bit")) != 0
+        return F.get(mask, F.col("block")).bitwiseAND(F.col("bit")) != 0
 
     level = F.when(holds("admin"), "all").when(holds("reader"), "select").otherwise("none")
     return spelled.select("user", "domain", "env", level.alias("level"))
