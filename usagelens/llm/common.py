@@ -51,13 +51,29 @@ def checked(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def numbered(df: DataFrame, name: str = "row") -> DataFrame:
-    """``df`` with a number for every row.
+# Column of the row numbers in a table that ``with_rows`` stored.
+ROW = "number of the stored row"
 
-    Reading a stored table again gives the same numbers, so that a decision about a row can
-    be joined back to it. ``df`` must be such a table, or its files.
+
+def with_rows(df: DataFrame, label: str) -> DataFrame:
+    """``df`` stored with a number for every row in ``ROW``.
+
+    Decisions about rows are joined back to this copy. Numbers given while reading would not
+    do: how files are cut into partitions can change when executors come and go.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
+def numbered(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``df`` and ``row``: the stored number, or else one good for a single read."""
+    number = F.col(ROW) if ROW in df.columns else F.monotonically_increasing_id()
+    return df.select(number.alias("row"), *columns)
+
+
+def without(df: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of a table of ``with_rows`` whose number is not among the stored ``dropped(row)``."""
+    gone = dropped.select(F.col("row").alias(ROW))
+    return df.join(checked(gone, 16), ROW, "left_anti").select(*columns)
 
 
 def text_or_empty(column: Column | str) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import checked, numbered, stored, text_or_empty
+from usagelens.llm.common import checked, numbered, stored, text_or_empty, with_rows, without
 
 WINDOW = 10
 # Lists of so many rarest terms of a window are intersected before the rest is looked at.
@@ -85,7 +85,7 @@ def build_index(documents: DataFrame, bench: Benchmark) -> DataFrame:
     posting without a term: its ``pos`` is the number of its words and it alone carries the
     doc_id. Texts are read once and postings are written where they arise, without a shuffle.
     """
-    rows = numbered(documents.select("doc_id", "text"))
+    rows = numbered(documents, "doc_id", "text")
     words = rows.select("row", "doc_id", padded_words(F.col("text")).alias("w")).select(
         "row", "doc_id", F.posexplode("w").alias("pos", "term")
     )
@@ -228,12 +228,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The documents without an occurrence of a benchmark window, with all their columns.
-
-    ``documents`` is a stored table.
-    """
-    hit = contamination(documents, benchmark, window).filter("n_hit > 0").select("row")
-    hit = stored(hit, "contaminated").withColumnRenamed("row", "index row")
-    return numbered(documents, "index row").join(checked(hit, 16), "index row", "left_anti").select(
-        *documents.columns
-    )
+    """The documents without an occurrence of a benchmark window, with all their columns."""
+    rows = with_rows(documents, "decontaminate-rows")
+    hit = contamination(rows, benchmark, window).filter("n_hit > 0").select("row")
+    return without(rows, stored(hit, "contaminated"), documents.columns)

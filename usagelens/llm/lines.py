@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import checked, components, numbered, stored, text_or_empty
+from usagelens.llm.common import ROW, checked, components, numbered, stored, text_or_empty, with_rows
 
 EDITS, SHORTEST = 2, 20
 # Letters whose counts are compared; four bits of each count are kept.
@@ -36,7 +36,7 @@ def trimmed(line: Column) -> Column:
 
 def split_lines(documents: DataFrame) -> DataFrame:
     """(row, doc_id, line_no, line, h1, h2): one row per line that is not blank."""
-    lines = numbered(documents.select("doc_id", "text")).select(
+    lines = numbered(documents, "doc_id", "text").select(
         "row",
         "doc_id",
         F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "line"),
@@ -173,9 +173,7 @@ def places_of(documents: DataFrame) -> DataFrame:
     return stored(split_lines(documents).select("row", "doc_id", "line_no", "h1", "h2"), "line-places")
 
 
-def near_lines(
-    documents: DataFrame, places: DataFrame, edits: int = EDITS, shortest: int = SHORTEST
-) -> DataFrame:
+def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """Stored links of different line texts within ``edits`` edits: (a, b, distance).
 
     A text is named by two hashes. Equal lines are combined before the shuffle, so a line of
@@ -219,18 +217,11 @@ def near_lines(
         pairs.select(F.col("a").alias("h1")).union(pairs.select(F.col("b").alias("h1"))).distinct(),
         "line-names",
     )
-    # The text of each name, from the first document that has it.
-    wanted = stored(
-        places.join(checked(names, 16), "h1")
-        .groupBy("h1", "h2")
-        .agg(F.min(F.struct("row", "line_no")).alias("place"))
-        .select("h1", "h2", F.col("place.row").alias("row"), F.col("place.line_no").alias("line_no")),
-        "line-wanted",
-    )
     needed = stored(
-        numbered(documents.select("text"))
-        .join(checked(wanted, 40), "row")
-        .select("h1", "h2", trimmed(F.element_at(F.split("text", "\n"), F.col("line_no") + 1)).alias("line")),
+        split_lines(documents)
+        .join(checked(names, 16), "h1")
+        .groupBy("h1", "h2")
+        .agg(F.first("line").alias("line")),
         "line-texts",
     )
     name = F.concat(F.hex("h1"), F.lit("-"), F.hex("h2"))
@@ -253,7 +244,7 @@ def line_classes(documents: DataFrame, edits: int = EDITS, shortest: int = SHORT
     different texts linked directly to the line's text.
     """
     occurrences = places_of(documents)
-    links = near_lines(documents, occurrences, edits, shortest)
+    links = near_lines(documents, edits, shortest)
     degree = (
         links.select("a").union(links.select("b")).groupBy(F.col("a").alias("name")).agg(
             F.count(F.lit(1)).alias("n_links")
@@ -295,22 +286,22 @@ def line_classes(documents: DataFrame, edits: int = EDITS, shortest: int = SHORT
 def dedup_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """``documents`` without the lines that are not the first of their class.
 
-    Blank lines stay. The rows must be readable twice in the same order, as a stored table is.
+    Blank lines stay.
     """
+    rows = with_rows(documents, "line-rows")
     dropped = (
-        line_classes(documents, edits, shortest)
+        line_classes(rows, edits, shortest)
         .filter("NOT kept")
         .groupBy("row")
-        .agg(F.collect_set("line_no").alias("dropped"))
+        .agg(F.collect_set("line_no").alias("line numbers"))
+        .withColumnRenamed("row", ROW)
     )
-    dropped = dropped.withColumnRenamed("row", "line row").withColumnRenamed("dropped", "line numbers")
     rest = F.filter(
         F.split("text", "\n"),
         lambda line, k: ~F.coalesce(F.array_contains("line numbers", k), F.lit(False)),
     )
     return (
-        numbered(documents, "line row")
-        .join(dropped, "line row", "left")
+        rows.join(dropped, ROW, "left")
         .withColumn("text", F.when(F.col("text").isNotNull(), F.array_join(rest, "\n")))
         .select(*documents.columns)
     )

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from usagelens.llm.common import checked, components, numbered, small_batches, stored
+from usagelens.llm.common import checked, components, numbered, small_batches, stored, with_rows, without
 
 SHINGLE, THRESHOLD = 5, 0.8
 # A pair at the threshold shares a key of one table with probability 0.8 ** PER_KEY, so all
@@ -203,7 +203,7 @@ def hashed(documents: DataFrame) -> DataFrame:
             out["h1"], out["h2"] = out.h1.astype("Int64"), out.h2.astype("Int64")
             yield pd.concat([batch.reset_index(drop=True), out], axis=1)
 
-    source = numbered(documents.select("doc_id", "text")).select("row", "doc_id", "text")
+    source = numbered(documents, "doc_id", "text")
     kinds = StructType(list(source.schema.fields))
     kinds = kinds.add("h1", "long").add("h2", "long").add("n", "integer")
     kinds = kinds.add("keys", ArrayType(LongType())).add("sketch", ArrayType(LongType()))
@@ -429,12 +429,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """One document of each class, with all columns of ``documents``, a stored table.
+    """One document of each class, with all columns of ``documents``.
 
     The dropped rows are the small side of the join.
     """
-    dropped = stored(near_duplicates(documents).filter("NOT kept").select("row"), "minhash-dropped")
-    dropped = dropped.withColumnRenamed("row", "minhash row")
-    return numbered(documents, "minhash row").join(checked(dropped, 16), "minhash row", "left_anti").select(
-        *documents.columns
-    )
+    rows = with_rows(documents, "minhash-rows")
+    dropped = stored(near_duplicates(rows).filter("NOT kept").select("row"), "minhash-dropped")
+    return without(rows, dropped, documents.columns)

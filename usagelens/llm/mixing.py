@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import checked, numbered, stored, text_or_empty
+from usagelens.llm.common import ROW, checked, numbered, stored, text_or_empty, with_rows
 
 # Weights given to the sources in code point order, over and over.
 WEIGHTS = (3, 1, 2)
@@ -105,7 +105,7 @@ def mix(
     """
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
     sizes = stored(
-        numbered(documents.select("doc_id", "source", "text")).select(
+        numbered(documents, "doc_id", "source", "text").select(
             "row", "doc_id", "source", word_count(F.col("text")).alias("size")
         ),
         "mix-sizes",
@@ -162,12 +162,12 @@ def mix(
 def mixed(documents: DataFrame, **settings) -> DataFrame:
     """The mix itself: every document as often as ``mix`` says, with all its columns.
 
-    ``documents`` is a stored table. Documents and decisions meet by row number, which
-    spreads any source evenly.
+    Documents and decisions meet by row number, which spreads any source evenly.
     """
-    copies = mix(documents, **settings).filter("copies > 0").select("row", F.col("copies").alias("mix copies"))
-    rows = numbered(documents, "mix row")
-    repeated = rows.join(copies.withColumnRenamed("row", "mix of"), F.expr("`mix row` = `mix of`")).withColumn(
+    rows = with_rows(documents, "mix-rows")
+    copies = mix(rows, **settings).filter("copies > 0")
+    copies = copies.select(F.col("row").alias(ROW), F.col("copies").alias("mix copies"))
+    repeated = rows.join(copies, ROW).withColumn(
         "mix copy", F.explode(F.sequence(F.lit(1), F.col("mix copies")))
     )
     return repeated.select(*documents.columns)

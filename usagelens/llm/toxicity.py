@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import compression
-from usagelens.llm.common import checked, numbered, small_batches, stored
+from usagelens.llm.common import numbered, small_batches, stored, with_rows, without
 
 # Labelled documents of a class that are learnt from, and ordinary windows the background is
 # trained on.
@@ -198,11 +198,10 @@ def score(documents: DataFrame, model: Model, keep: list[str] | None = None) ->
 def accepted(documents: DataFrame, model: Model, reject_from: float = PREDICT_FROM) -> DataFrame:
     """The documents that score below ``reject_from``, with all their columns.
 
-    ``documents`` is a stored table; the rejected rows are the small side of the join.
+    The rejected rows are the small side of the join.
     """
-    scored = score(numbered(documents.select("text"), "toxic row"), model, ["toxic row"])
+    rows = with_rows(documents, "toxic-rows")
+    scored = score(numbered(rows, "text"), model, ["row"])
     with small_batches(documents.sparkSession):
-        rejected = stored(scored.filter(F.col("score") >= reject_from).select("toxic row"), "toxic-rows")
-    return numbered(documents, "toxic row").join(checked(rejected, 16), "toxic row", "left_anti").select(
-        *documents.columns
-    )
+        rejected = stored(scored.filter(F.col("score") >= reject_from).select("row"), "toxic-dropped")
+    return without(rows, rejected, documents.columns)
