@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +39,37 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    for paths in _temporary[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Deletes, at its end, what was stored inside the block, but for what was stored with the
+    function it gives. For blocks whose results are stored, not lazy."""
+    kept: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        out = stored(df, label)
+        kept.append(_temporary[-1].pop())
+        return out
+
+    _temporary.append([])
+    try:
+        yield keep
+    finally:
+        for path in _temporary.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        for paths in _temporary[-1:]:
+            paths.extend(kept)
+
+
 def checked(df: DataFrame, row_bytes: int) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows stay below the limit.
 
@@ -51,29 +79,40 @@ def checked(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-# Column of the row numbers in a table that ``with_rows`` stored.
-ROW = "number of the stored row"
+# Columns that name a row of stored files: a hash of the file's path and the place in the file.
+ROW = ["file of the row", "place in the file"]
 
 
 def with_rows(df: DataFrame, label: str) -> DataFrame:
-    """``df`` stored with a number for every row in ``ROW``.
+    """``df`` with the columns ``ROW``, to which decisions about rows are joined back.
 
-    Decisions about rows are joined back to this copy. Numbers given while reading would not
-    do: how files are cut into partitions can change when executors come and go.
+    They belong to the files. Numbers given while reading would not do: how files are cut
+    into partitions can change when executors come and go. What is not read from files that
+    number their rows is stored first.
     """
-    return stored(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+    def named(df: DataFrame) -> DataFrame:
+        origin = df.metadataColumn("_metadata")
+        return df.withColumns({ROW[0]: F.xxhash64(origin["file_path"]), ROW[1]: origin["row_index"]})
+
+    try:
+        return named(df)
+    except AnalysisException:
+        return named(stored(df, label))
 
 
 def numbered(df: DataFrame, *columns: str) -> DataFrame:
-    """``columns`` of ``df`` and ``row``: the stored number, or else one good for a single read."""
-    number = F.col(ROW) if ROW in df.columns else F.monotonically_increasing_id()
-    return df.select(number.alias("row"), *columns)
+    """``columns`` of ``df``, ``ROW`` if it has them, and ``row``, a number good for one read."""
+    return df.select(F.monotonically_increasing_id().alias("row"), *columns, *rows_of(df))
+
+
+def rows_of(df: DataFrame) -> list[str]:
+    return [c for c in ROW if c in df.columns]
 
 
 def without(df: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of a table of ``with_rows`` whose number is not among the stored ``dropped(row)``."""
-    gone = dropped.select(F.col("row").alias(ROW))
-    return df.join(checked(gone, 16), ROW, "left_anti").select(*columns)
+    """Rows of ``df``, of ``with_rows``, that the stored ``dropped`` does not name."""
+    return df.join(checked(dropped.select(*ROW), 24), ROW, "left_anti").select(*columns)
 
 
 def text_or_empty(column: Column | str) -> Column:

@@ -24,7 +24,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import checked, numbered, stored, text_or_empty, with_rows, without
+from usagelens.llm.common import (
+    ROW,
+    checked,
+    numbered,
+    rows_of,
+    stored,
+    temporary,
+    text_or_empty,
+    with_rows,
+    without,
+)
 
 WINDOW = 10
 # Lists of so many rarest terms of a window are intersected before the rest is looked at.
@@ -86,8 +96,9 @@ def build_index(documents: DataFrame, bench: Benchmark) -> DataFrame:
     doc_id. Texts are read once and postings are written where they arise, without a shuffle.
     """
     rows = numbered(documents, "doc_id", "text")
-    words = rows.select("row", "doc_id", padded_words(F.col("text")).alias("w")).select(
-        "row", "doc_id", F.posexplode("w").alias("pos", "term")
+    carried = ["doc_id", *rows_of(rows)]
+    words = rows.select("row", *carried, padded_words(F.col("text")).alias("w")).select(
+        "row", *carried, F.posexplode("w").alias("pos", "term")
     )
     lookup = checked(bench.vocabulary, 100)
     # One pass: the end marks pass the outer join without a term, other unknown words drop out.
@@ -98,7 +109,7 @@ def build_index(documents: DataFrame, bench: Benchmark) -> DataFrame:
             "term_id",
             "row",
             (F.col("pos") - end.cast("int")).alias("pos"),
-            F.when(end, F.col("doc_id")).alias("doc_id"),
+            *(F.when(end, F.col(c)).alias(c) for c in carried),
         ),
         "postings",
     )
@@ -213,7 +224,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         .groupBy("row")
         .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
     )
-    ends = index.filter("term_id IS NULL").select("row", "doc_id", F.col("pos").cast("long").alias("n_words"))
+    ends = index.filter("term_id IS NULL").select(
+        "row", "doc_id", F.col("pos").cast("long").alias("n_words"), *rows_of(index)
+    )
     return (
         ends.join(hit, "row", "left")
         .join(items, "row", "left")
@@ -223,6 +236,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
             "n_words",
             F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+            *rows_of(index),
         )
     )
 
@@ -230,5 +244,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
 def clean(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without an occurrence of a benchmark window, with all their columns."""
     rows = with_rows(documents, "decontaminate-rows")
-    hit = contamination(rows, benchmark, window).filter("n_hit > 0").select("row")
-    return without(rows, stored(hit, "contaminated"), documents.columns)
+    with temporary(documents.sparkSession) as keep:
+        hit = contamination(rows, benchmark, window).filter("n_hit > 0").select(*ROW)
+        hit = keep(hit, "contaminated")
+    return without(rows, hit, documents.columns)

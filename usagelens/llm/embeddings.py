@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from usagelens.llm.common import checked, components, stored
 
@@ -137,12 +138,9 @@ def near_vectors(
                     out[k] = h.tobytes()
             yield batch.assign(hashes=out)
 
-    signed = stored(
-        unique.select("node", "label", "weight", "embedding").mapInPandas(
-            hashed, "node long, label int, weight long, embedding array<float>, hashes binary"
-        ),
-        "vector-hashes",
-    )
+    vectors = unique.select("node", "label", "weight", "embedding")
+    kinds = StructType(list(vectors.schema.fields)).add("hashes", "binary")
+    signed = stored(vectors.mapInPandas(hashed, kinds), "vector-hashes")
     width = 4
     buckets = signed.select(
         "*",

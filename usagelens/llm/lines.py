@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import ROW, checked, components, numbered, stored, text_or_empty, with_rows
+from usagelens.llm.common import ROW, checked, components, numbered, rows_of, stored, text_or_empty, with_rows
 
 EDITS, SHORTEST = 2, 20
 # Letters whose counts are compared; four bits of each count are kept.
@@ -39,11 +39,13 @@ def split_lines(documents: DataFrame) -> DataFrame:
     lines = numbered(documents, "doc_id", "text").select(
         "row",
         "doc_id",
+        *rows_of(documents),
         F.posexplode(F.split(text_or_empty("text"), "\n")).alias("line_no", "line"),
     ).withColumn("line", trimmed(F.col("line")))
     return lines.filter("line != ''").select(
         "row",
         "doc_id",
+        *rows_of(documents),
         "line_no",
         "line",
         F.xxhash64("line").alias("h1"),
@@ -170,7 +172,8 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
 
 def places_of(documents: DataFrame) -> DataFrame:
     """Stored (row, doc_id, line_no, h1, h2), one row per line."""
-    return stored(split_lines(documents).select("row", "doc_id", "line_no", "h1", "h2"), "line-places")
+    places = split_lines(documents).select("row", "doc_id", *rows_of(documents), "line_no", "h1", "h2")
+    return stored(places, "line-places")
 
 
 def near_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
@@ -280,6 +283,7 @@ def line_classes(documents: DataFrame, edits: int = EDITS, shortest: int = SHORT
         F.col("first.line_no").alias("class_line"),
         ((F.col("row") == F.col("first.row")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"),
         "n_links",
+        *rows_of(documents),
     )
 
 
@@ -292,9 +296,8 @@ def dedup_lines(documents: DataFrame, edits: int = EDITS, shortest: int = SHORTE
     dropped = (
         line_classes(rows, edits, shortest)
         .filter("NOT kept")
-        .groupBy("row")
+        .groupBy(*ROW)
         .agg(F.collect_set("line_no").alias("line numbers"))
-        .withColumnRenamed("row", ROW)
     )
     rest = F.filter(
         F.split("text", "\n"),

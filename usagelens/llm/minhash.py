@@ -32,7 +32,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from usagelens.llm.common import checked, components, numbered, small_batches, stored, with_rows, without
+from usagelens.llm.common import (
+    ROW,
+    checked,
+    components,
+    numbered,
+    rows_of,
+    small_batches,
+    stored,
+    temporary,
+    with_rows,
+    without,
+)
 
 SHINGLE, THRESHOLD = 5, 0.8
 # A pair at the threshold shares a key of one table with probability 0.8 ** PER_KEY, so all
@@ -329,7 +340,7 @@ def cross_pairs(left: DataFrame, right: DataFrame, condition: Column) -> DataFra
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """One row per document: (row, doc_id, class_id, kept)."""
+    """One row per document: (row, doc_id, class_id, kept), and ``ROW`` if ``documents`` has it."""
     rows = hashed(documents)
     usable = rows.filter("n > 0")
     unique = stored(
@@ -410,11 +421,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("h1", "h2", F.coalesce("component", "node").alias("class"))
     )
     placed = (
-        rows.select("row", "doc_id", "h1", "h2")
+        rows.select("row", "doc_id", "h1", "h2", *rows_of(rows))
         .join(of_words, ["h1", "h2"], "left")
         .withColumn("class", F.coalesce("class", "row"))
     )
-    placed = stored(placed.select("row", "doc_id", "class"), "minhash-classes")
+    placed = stored(placed.select("row", "doc_id", "class", *rows_of(placed)), "minhash-classes")
     # A null id ranks after every other.
     first = placed.groupBy("class").agg(
         F.min("doc_id").alias("class_id"),
@@ -425,6 +436,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "doc_id",
         "class_id",
         (F.col("row") == F.col("first.row")).alias("kept"),
+        *rows_of(placed),
     )
 
 
@@ -434,5 +446,6 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     The dropped rows are the small side of the join.
     """
     rows = with_rows(documents, "minhash-rows")
-    dropped = stored(near_duplicates(rows).filter("NOT kept").select("row"), "minhash-dropped")
+    with temporary(documents.sparkSession) as keep:
+        dropped = keep(near_duplicates(rows).filter("NOT kept").select(*ROW), "minhash-dropped")
     return without(rows, dropped, documents.columns)

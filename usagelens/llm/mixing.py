@@ -17,7 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from usagelens.llm.common import ROW, checked, numbered, stored, text_or_empty, with_rows
+from usagelens.llm.common import (
+    ROW,
+    checked,
+    numbered,
+    rows_of,
+    stored,
+    temporary,
+    text_or_empty,
+    with_rows,
+)
 
 # Weights given to the sources in code point order, over and over.
 WEIGHTS = (3, 1, 2)
@@ -106,7 +115,7 @@ def mix(
     key = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
     sizes = stored(
         numbered(documents, "doc_id", "source", "text").select(
-            "row", "doc_id", "source", word_count(F.col("text")).alias("size")
+            "row", "doc_id", "source", word_count(F.col("text")).alias("size"), *rows_of(documents)
         ),
         "mix-sizes",
     )
@@ -155,6 +164,7 @@ def mix(
             )
             .cast("int")
             .alias("copies"),
+            *rows_of(documents),
         )
     )
 
@@ -165,8 +175,9 @@ def mixed(documents: DataFrame, **settings) -> DataFrame:
     Documents and decisions meet by row number, which spreads any source evenly.
     """
     rows = with_rows(documents, "mix-rows")
-    copies = mix(rows, **settings).filter("copies > 0")
-    copies = copies.select(F.col("row").alias(ROW), F.col("copies").alias("mix copies"))
+    with temporary(documents.sparkSession) as keep:
+        copies = mix(rows, **settings).filter("copies > 0")
+        copies = keep(copies.select(*ROW, F.col("copies").alias("mix copies")), "mix-copies")
     repeated = rows.join(copies, ROW).withColumn(
         "mix copy", F.explode(F.sequence(F.lit(1), F.col("mix copies")))
     )

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import compression
-from usagelens.llm.common import numbered, small_batches, stored, with_rows, without
+from usagelens.llm.common import ROW, small_batches, stored, with_rows, without
 
 # Labelled documents of a class that are learnt from, and ordinary windows the background is
 # trained on.
@@ -201,7 +201,7 @@ def accepted(documents: DataFrame, model: Model, reject_from: float = PREDICT_FR
     The rejected rows are the small side of the join.
     """
     rows = with_rows(documents, "toxic-rows")
-    scored = score(numbered(rows, "text"), model, ["row"])
+    scored = score(rows.select("text", *ROW), model, ROW)
     with small_batches(documents.sparkSession):
-        rejected = stored(scored.filter(F.col("score") >= reject_from).select("row"), "toxic-dropped")
+        rejected = stored(scored.filter(F.col("score") >= reject_from).select(*ROW), "toxic-dropped")
     return without(rows, rejected, documents.columns)
