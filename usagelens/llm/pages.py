@@ -210,13 +210,14 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 
 def fit(pages: DataFrame, labelled: int = LABELLED_PAGES) -> dict[str, float]:
     """Weights from at most ``labelled`` pages that mark their article, in the order of a hash."""
-    marked = pages.filter(F.col("html").rlike("(?i)<(article|main)[ >]"))
-    rows = (
-        marked.select("html")
-        .orderBy(F.xxhash64("html"), "html")
-        .limit(labelled)
-        .collect()
+    marked = pages.filter(F.col("html").rlike("(?i)<(article|main)[ >]")).withColumn(
+        "place", F.xxhash64("html")
     )
+    # The hashes are ranked first, so that only the pages themselves reach the driver.
+    last = marked.select("place").orderBy("place").limit(labelled).agg(F.max("place")).first()[0]
+    if last is None:
+        return learn([])
+    rows = marked.filter(F.col("place") <= last).select("html").limit(labelled).collect()
     return learn([row["html"] for row in rows])
 
 
