@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from .texts import prose
 from usagelens.llm import compression, quality, toxicity
 
-SF = "/root/testdata/sf0.01"
+SF, LARGE = "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 
 @pytest.mark.parametrize("operator, label, modulus, remainder", [(toxicity, "toxic", 4, 2), (quality, "quality", 3, 1)])
@@ -58,6 +58,38 @@ def test_one_planted_word_is_enough(spark):
     assert len(wrong) <= 0.1 * len(out)
 
 
+def test_toxic_of_every_language_held_out(spark):
+    docs = spark.read.parquet(f"{LARGE}/documents.parquet")
+    labels = spark.read.parquet(f"{LARGE}/labels.parquet")
+    held = compression.held_out(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(docs, labels, ~held)
+    judged = docs.filter(held).join(labels.filter("toxic IN (0, 1)"), "doc_id")
+    rows = toxicity.score(judged, model, ["lang", "toxic"]).collect()
+    found = [(r["lang"], r["toxic"], r["score"] >= toxicity.PREDICT_FROM) for r in rows]
+    figures = {}
+    for lang in (None, "en", "fr", "de", "es"):
+        own = [(y, p) for g, y, p in found if lang in (None, g)]
+        hit = sum(y and p for y, p in own)
+        figures[lang] = hit, sum(p for _, p in own), sum(y for y, _ in own)
+    print("held-out toxic: found, predicted, labelled", figures)
+    hit, predicted, labelled = figures[None]
+    assert hit >= 0.75 * labelled and hit >= 0.7 * predicted
+    assert all(figures[lang][0] >= 0.5 * figures[lang][2] for lang in ("en", "fr", "de", "es"))
+
+
+def test_a_strong_vocabulary_leaves_weak_word_beginnings(spark):
+    rows = []
+    for k in range(600):
+        words = prose(k, 60).split()
+        if k % 4 == 0:
+            # A tenth of the toxic documents share only the beginning of a word.
+            words.insert(k * 7 % 50, f"zquivox{'abcdefghij'[k // 40 % 10]}" if k % 40 == 0 else "blatherskite")
+        rows.append((k, " ".join(words), int(k % 4 == 0)))
+    sample = spark.createDataFrame(rows, "d long, text string, y int")
+    segments = [segment for segment, _ in toxicity.segment_evidence(sample)]
+    assert "blatherskite " in segments and "zquivox" in segments
+
+
 def test_lengths_do_not_depend_on_the_batch(monkeypatch):
     by = compression.compressor(b"", dict(compression_level=3))
     pieces = [b"abc" * k for k in range(200)]

@@ -5,9 +5,12 @@ holds the segments of toxic text that ordinary text lacks. A window of a documen
 compressed with both. How many bytes the toxic dictionary saves is the distance; the largest
 savings of a document go through thresholds calibrated on labelled documents.
 
-A segment is a word that many toxic and hardly any ordinary documents use. Documents are
-counted by the contexts (word before, word, word after) they are the first to use, so that a
-group of copies counts as one document.
+A segment is a word, or the beginning of words, that toxic documents use far more often than
+ordinary ones. Each is judged by its own evidence, whatever the best one has: a vocabulary of
+few documents, as of a rarer language, stays beside a strong one. Among the segments taken
+about one in ten may be there by chance, by the number of words and beginnings tried.
+Documents are counted by the contexts (word before, word, word after) they are the first to
+use, so that a group of copies counts as one document.
 
 Defined cases: a null, empty or blank text has no windows and gets the score of no savings;
 labels other than 0 and 1 and labels without a document are not learnt from; of several
@@ -19,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import erfc, sqrt
 
 import numpy as np
 import pandas as pd
@@ -34,8 +38,11 @@ from usagelens.llm.common import ROW, small_batches, stored, with_rows, without
 PER_CLASS, BACKGROUND_WINDOWS = 4000, 20000
 WINDOW_WORDS = 12
 BACKGROUND_BYTES = 16384
-# A segment's evidence must reach this share of the best segment's, and this much at all.
-EVIDENCE_SHARE, EVIDENCE_LEAST, MAX_SEGMENTS = 0.25, 12.0, 400
+# Characters of a word's beginning. The whole word counts at any length.
+BEGINNING = 3, 24
+# Least evidence of a segment, share of segments that may be there by chance, and bytes of
+# segments, so that they and the background stay within reach of the window.
+EVIDENCE_LEAST, BY_CHANCE, SEGMENT_BYTES = 12.0, 0.1, 65536
 PARAMETERS = dict(
     hash_log=16,
     chain_log=17,
@@ -45,7 +52,7 @@ PARAMETERS = dict(
     target_length=32,
     strategy=zstandard.STRATEGY_BTLAZY2,
 )
-FEATURES = 4
+FEATURES = 9
 PREDICT_FROM = 0.3
 
 
@@ -66,7 +73,8 @@ def windows(text: str) -> list[bytes]:
 
 
 def savings(texts: pd.Series, model: Model) -> np.ndarray:
-    """Per text: the largest and second largest saving, how many windows save, windows."""
+    """Per text: the largest and second largest saving, how many windows save, windows, the
+    shares of windows that save 2, 3, 4 and 5 bytes, and the mean saving."""
     plain = compression.compressor(model.background, PARAMETERS, raw=True)
     toxic = compression.compressor(model.toxic, PARAMETERS, raw=True)
     out = np.zeros((len(texts), FEATURES))
@@ -80,17 +88,21 @@ def savings(texts: pd.Series, model: Model) -> np.ndarray:
             np.clip(saved[-2], -1, 8) if len(saved) > 1 else 0,
             min(6, (saved >= 4).sum()),
             np.log1p(len(saved)),
+            *(min(most, (saved >= least).mean()) for least, most in ((2, 0.5), (3, 0.3), (4, 0.3), (5, 0.3))),
+            min(1, np.clip(saved, 0, 8).mean()),
         )
     return out
 
 
 def curved(features: np.ndarray) -> np.ndarray:
     top = features[:, 0]
-    return np.c_[features, np.maximum(0, top - 2), np.maximum(0, top - 3), np.maximum(0, top - 4)]
+    mean = np.minimum(0.5, features[:, -1])
+    return np.c_[features, np.maximum(0, top - 2), np.maximum(0, top - 3), np.maximum(0, top - 4), mean]
 
 
 def segment_evidence(sample: DataFrame) -> list[tuple[str, float]]:
-    """Words that mark toxic text, with the likelihood ratio of their document counts."""
+    """Words, each with a space at its end, and beginnings of words that mark toxic text, with
+    the likelihood ratio of their document counts, the best first."""
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     padded = sample.select(
         "y", F.xxhash64("text").alias("d"), F.concat(F.array(F.lit("")), words, F.array(F.lit(""))).alias("w")
@@ -99,13 +111,27 @@ def segment_evidence(sample: DataFrame) -> list[tuple[str, float]]:
     first = contexts.groupBy(
         "y", F.xxhash64(F.expr("w[k - 1]"), "word", F.expr("w[k + 1]")).alias("context"), "word"
     ).agg(F.min("d").alias("d"))
-    per_word = first.groupBy("word").agg(
-        *(F.countDistinct(F.when(F.col("y") == y, F.col("d"))).alias(f"n{y}") for y in (0, 1))
-    )
     sizes = {r["y"]: r["n"] for r in padded.groupBy("y").agg(F.countDistinct("d").alias("n")).collect()}
     if len(sizes) < 2:
         return []
     total = F.lit(float(sizes[0] + sizes[1]))
+    least, most = BEGINNING
+    ends = F.sequence(F.lit(least), F.least(F.char_length("word"), F.lit(most)))
+    beginnings = F.when(
+        F.char_length("word") >= least, F.transform(ends, lambda k: F.substring("word", F.lit(1), k))
+    ).otherwise(F.array().cast("array<string>"))
+    counted = (
+        first.select("y", "d", "word")
+        .distinct()
+        .select(
+            "y", "d", F.explode(F.concat(F.array(F.concat("word", F.lit(" "))), beginnings)).alias("segment")
+        )
+        .distinct()
+        .groupBy("segment")
+        .agg(*(F.count_if(F.col("y") == y).alias(f"n{y}") for y in (0, 1)))
+    )
+    # One document is no evidence.
+    tried = stored(counted.filter("n1 > 1"), "toxicity-segments")
 
     def part(seen: Column, expected: Column) -> Column:
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
@@ -120,14 +146,47 @@ def segment_evidence(sample: DataFrame) -> list[tuple[str, float]]:
         start=F.lit(0.0),
     )
     often = F.col("n1") / sizes[1] > 5 * F.col("n0") / sizes[0]
+    marking = tried.filter(often).select("segment", "n0", "n1", evidence.alias("evidence"))
     best = (
-        per_word.filter(often)
-        .select("word", evidence.alias("evidence"))
-        .orderBy(F.col("evidence").desc(), "word")
-        .limit(MAX_SEGMENTS)
+        marking.filter(F.col("evidence") >= EVIDENCE_LEAST)
+        .orderBy(F.col("evidence").desc(), "segment")
+        .limit(SEGMENT_BYTES)
         .collect()
     )
-    return [(row["word"], row["evidence"]) for row in best]
+    return longest([tuple(row) for row in best[: above_chance([r["evidence"] for r in best], tried.count())]])
+
+
+def above_chance(evidence: list[float], tried: int) -> int:
+    """How many of the best of ``tried`` segments to take, so that the expected share of those
+    there by chance is at most ``BY_CHANCE`` (Benjamini and Hochberg)."""
+    return max(
+        (k for k, e in enumerate(evidence, 1) if erfc(sqrt(e / 2)) / 2 * tried <= BY_CHANCE * k), default=0
+    )
+
+
+def longest(segments: list[tuple[str, int, int, float]]) -> list[tuple[str, float]]:
+    """Segments and their evidence without those that a longer one with the same documents begins with."""
+    counts = {segment: (n0, n1) for segment, n0, n1, _ in segments}
+    spare = {
+        segment[:k]
+        for segment in counts
+        for k in range(1, len(segment))
+        if counts.get(segment[:k]) == counts[segment]
+    }
+    return [(segment, e) for segment, _, _, e in segments if segment not in spare]
+
+
+def dictionary(segments: list[str]) -> bytes:
+    """At most ``SEGMENT_BYTES`` of the first ``segments``, the first nearest to the end. Each
+    has a space before it; the line ends between them match nothing in a window."""
+    out, size = [], 0
+    for segment in segments:
+        piece = f" {segment}\n".encode("utf-8", "surrogatepass")
+        size += len(piece)
+        if size > SEGMENT_BYTES:
+            break
+        out.append(piece)
+    return b"".join(reversed(out))
 
 
 def fit(
@@ -137,11 +196,7 @@ def fit(
     sample, totals = compression.labelled_sample(
         documents, labels, label, learn, per_class, "toxicity-sample"
     )
-    evidence = segment_evidence(sample)
-    top = evidence[0][1] if evidence else 0.0
-    segments = [
-        word for word, e in evidence if e >= max(EVIDENCE_LEAST, EVIDENCE_SHARE * top)
-    ]
+    segments = [segment for segment, _ in segment_evidence(sample)]
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -157,8 +212,7 @@ def fit(
         .collect()
     )
     background = compression.train([bytes(row["piece"]) for row in pieces], BACKGROUND_BYTES)
-    extra = (" " + "  ".join(segments) + " ").encode() if segments else b""
-    model = Model(background, extra + background, np.zeros((3, 1)))
+    model = Model(background, dictionary(segments) + background, np.zeros((3, 1)))
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
