@@ -21,6 +21,23 @@ def test_article_only():
     assert pages.main_text(PAGE, dict(pages.FIRST_WEIGHTS)) == TEXT
 
 
+def test_large_boilerplate_is_no_wrapper():
+    weights = dict(pages.FIRST_WEIGHTS)
+    article = " ".join(f"word{k}" for k in range(20))
+    other = " ".join(f"reply{k}" for k in range(50))
+    for start in (
+        'section id="comments"', 'div class="cookie-notice"', 'div class="related sidebar"', 'div id="respond"',
+        'div class="advert"', 'div id="sidebar"', 'div role="complementary"',
+    ):
+        name = start.split()[0]
+        inner = f"<p>{other}</p>" if "sidebar" in start else f"<div><h1></h1><p>{other}</p></div>"
+        page = f"<body><div><p>{article}</p></div><{start}>{inner}</{name}></body>"
+        assert pages.main_text(page, weights) == article, start
+    for inner in (f"<h1>Title</h1><p>{other}</p>", f"<div><p>Title</p><p>{other}</p></div>"):
+        page = f'<body><div class="with-sidebar">{inner}</div></body>'
+        assert pages.main_text(page, weights).split() == ["Title", *other.split()]
+
+
 def test_region_equals_brute_force():
     tokens, _ = pages.parse(PAGE)
     weights = dict(pages.FIRST_WEIGHTS)

@@ -11,8 +11,9 @@ Blocks are the contents of block elements; white space inside one becomes a sing
 blocks are joined by an empty line.
 
 Defined cases: a null or empty page, or one without a word that scores, gives an empty text;
-unclosed comments, scripts and tags end with the page; an element that looks like
-boilerplate by its class, id or role but holds more than half of the page's words is taken for a wrapper; without
+unclosed comments, scripts and tags end with the page; an element that looks like boilerplate
+by words of layout in its class or id only is taken for a wrapper if it holds more than half
+of the page's words and an h1, a marked article or a div or section without a hint; without
 pages that mark their article the first weights are used; rows that repeat a page, null ids
 and other columns are left alone.
 """
@@ -61,6 +62,11 @@ HINTS = frozenset(
     " newsletter subscribe subscription signup login share sharing social related recommended"
     " recommendations pagination pager toolbar copyright skip search".split()
 )
+# Hints that wrappers of whole pages carry as well, as in "with-sidebar".
+LAYOUT = frozenset(
+    "banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation search sidebar skip"
+    " toolbar widget widgets".split()
+)
 MARKS = frozenset("article main".split())
 FIRST_WEIGHTS = {"word": 1.0, "link word": -0.5, "boilerplate word": -0.2, "open": -0.2, "close": -0.1}
 LEAST_WORD, LEAST_TAG = 0.2, -0.05
@@ -76,6 +82,7 @@ def parse(page: str) -> tuple[list[tuple], tuple[int, int] | None]:
     covering: list[int] = []
     held: Counter = Counter()
     certain: set[int] = set()
+    encloses: set[int] = set()
     links = words_total = number = 0
     marks: list[list[int]] = []
     open_marks: list[int] = []
@@ -129,14 +136,20 @@ def parse(page: str) -> tuple[list[tuple], tuple[int, int] | None]:
             for kind, *value in ATTRIBUTE.findall(found["rest"]):
                 value = "".join(value).lower()
                 if kind.lower() == "role":
-                    looks = looks or value in ROLES
+                    looks, sure = looks or value in ROLES, sure or value in ROLES
                 else:
                     hints = HINTS.intersection(re.split(r"[^a-z]+", value))
                     looks = looks or bool(hints - {"header"} if in_article else hints)
+                    sure = sure or bool(hints - LAYOUT)
             if looks:
                 hint, number = number, number + 1
                 covering.append(hint)
                 certain.update([hint] if sure else [])
+        if hint < 0 and (name in MARKS or name in ("h1", "div", "section")):
+            for outer in reversed(covering):
+                if outer in certain:
+                    break
+                encloses.add(outer)
         stack.append((name, hint))
         links += name == "a"
         if name in MARKS:
@@ -144,7 +157,7 @@ def parse(page: str) -> tuple[list[tuple], tuple[int, int] | None]:
             open_marks.append(len(marks))
             marks.append([len(tokens), len(tokens)])
     close_to(0)
-    wrappers = {hint for hint, count in held.items() if 2 * count > words_total} - certain
+    wrappers = {hint for hint, count in held.items() if 2 * count > words_total} & encloses - certain
     out = []
     for feature, count, text, block, hints in tokens:
         if hints and not wrappers.issuperset(hints):
