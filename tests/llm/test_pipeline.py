@@ -45,3 +45,16 @@ def test_empty_documents(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_toxic_stage_against_held_out_labels(spark):
+    large = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{large}/documents.parquet")
+    kept = corpus_pipeline.drop_toxic(spark, docs, large).select("doc_id").distinct()
+    toxic = spark.read.parquet(f"{large}/labels.parquet").filter("toxic = 1")
+    judged = docs.filter(compression.held_out(F.col("doc_id"), 4, 2)).join(toxic, "doc_id")
+    per_lang = {r["lang"]: r["count"] for r in judged.groupBy("lang").count().collect()}
+    left = {r["lang"]: r["count"] for r in judged.join(kept, "doc_id").groupBy("lang").count().collect()}
+    print("held-out toxic documents", per_lang, "left in the corpus", left)
+    assert set(per_lang) == {"en", "fr", "de", "es"}
+    assert all(left.get(lang, 0) <= 0.5 * n for lang, n in per_lang.items())
