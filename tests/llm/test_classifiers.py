@@ -104,3 +104,14 @@ def test_logistic_fit_of_separable_and_missing_rows():
     assert ((p > 0.5) == (y == 1)).all()
     empty = compression.fit_logistic(np.empty((0, 1)), np.empty(0), np.empty(0))
     assert compression.logistic(empty, x).tolist() == [0.5] * 10
+
+
+def test_equal_rows_score_the_same_in_batches_of_any_size():
+    rng = np.random.default_rng(3)
+    for width in (1, 3, 7):
+        model = np.abs(rng.standard_normal((3, width + 1))) + 0.1
+        row = rng.standard_normal(width)
+        scores = {
+            float(p) for n in range(1, 65) for p in compression.logistic(model, np.tile(row, (n, 1)))
+        }
+        assert len(scores) == 1

@@ -101,8 +101,12 @@ def fit_logistic(
 
 
 def logistic(model: np.ndarray, features: np.ndarray) -> np.ndarray:
-    x = np.c_[(features - model[0, :-1]) / model[1, :-1], np.ones(len(features))]
-    return 1 / (1 + np.exp(-np.clip(x @ model[2], -30, 30)))
+    """Probability of every row. Terms are added column by column: a matrix product may add
+    them in another order for another number of rows, and equal rows must score the same."""
+    total = np.full(len(features), model[2, -1])
+    for k in range(features.shape[1]):
+        total = total + (features[:, k] - model[0, k]) / model[1, k] * model[2, k]
+    return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
