@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     names = [n.split("_")[0] for n in entry.queries() if n.startswith("op")]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 14)]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert importlib.util.find_spec("corpus_pipeline")
 

@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import compression, decontaminate, embeddings, languages, lines, minhash, mixing, pages, quality, shards, toxicity
+from usagelens.llm import (
+    alignment,
+    compression,
+    decontaminate,
+    embeddings,
+    languages,
+    licenses,
+    lines,
+    minhash,
+    mixing,
+    negatives,
+    pages,
+    quality,
+    shards,
+    toxicity,
+)
 from usagelens.session import scratch_path
 
 
@@ -91,6 +106,35 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")))
+    return found.select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"
+    )
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignments(
+        table(spark, sf_dir, "documents"), alignment.read_vocabularies(), ["doc_id"]
+    )
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES = {
     "op1_lines": op1_lines,
     "op2_languages": op2_languages,
@@ -102,4 +146,7 @@ QUERIES = {
     "op8_shards": op8_shards,
     "op9_quality": op9_quality,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_alignment": op12_alignment,
+    "op13_licenses": op13_licenses,
 }

@@ -142,3 +142,33 @@ SELECT l.doc_id, l.line_no::INTEGER AS line_no, c.first[1] AS class_doc, c.first
        (l.doc_id, l.line_no) = c.first AS kept, coalesce(d.n, 0)::BIGINT AS n_links
 FROM lines l JOIN classes c ON c.line = l.line LEFT JOIN degree d ON d.a = l.line
 """
+
+SQL["op11_hard_negatives"] = r"""
+WITH usable AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id,
+           list_dot_product(a.e, b.e)::BIGINT AS score
+    FROM usable a JOIN usable b ON a.r <> b.r AND len(a.e) = len(b.e)
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, k
+    FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k
+          FROM scored WHERE alike)
+    WHERE k <= 5
+), negatives AS (
+    SELECT p.anchor_id, p.positive_id, n.vec_id AS negative_id, p.positive_score,
+           n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.r, p.k ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN scored n
+      ON n.r = p.r AND NOT n.alike
+     AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 5
+"""
