@@ -1,34 +1,26 @@
 """Order-dependent operators that stay parallel when one key holds most of the rows.
 
-A window partitioned by a hot key runs in one task. These operators cut every key's
-ordered rows into slices of similar size, work inside the slices, and carry what a
-slice needs from the ones before it through a small per-slice summary.
-
-Input whose estimated size fits a single task is handled by an ordinary window.
+A window partitioned by a hot key runs in one task. Here the rows are dealt once over range
+partitions of (key, order), so a hot key spans as many of them as it needs, and stored in
+buckets of one partition each. Windows run inside the partitions, without another shuffle.
+Only the first key of a partition can have rows before it elsewhere; what it needs from them
+is carried over from one summary row per partition. Input of any size takes this path.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
-from functools import cache
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 64 * 1024 * 1024
-SLICE_ROWS = 250_000
-MAX_SLICES = 32768
-_SAMPLES_PER_SLICE = 16
-_KEY = "_key"
-_SLICE = "_slice"
-
+from usagelens.session import scratch_path
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate of ``df``; runs no job."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
+# Number of the range partition a row lies in.
+SLICE = "_slice"
+_ROWS_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
@@ -37,80 +29,48 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def _slice_count(df: DataFrame, rows: Callable[[], int]) -> int:
-    """Slices for ``df``: by estimated size, but never thinner than ``SLICE_ROWS`` rows.
-
-    Rows are counted only if the estimate asks for slices; sources without statistics
-    are estimated as very large.
-    """
-    by_size = math.ceil(estimated_bytes(df) / SLICE_BYTES)
-    if by_size <= 1:
-        return 1
-    return max(1, min(MAX_SLICES, by_size, math.ceil(rows() / SLICE_ROWS)))
-
-
 def _struct(names: Sequence[str]) -> Column:
     return F.struct(*[F.col(name) for name in names])
 
 
-def _split_points(df: DataFrame, order: Sequence[str], slices: int, rows: int) -> DataFrame:
-    """Per ``_key``, the order values at which its rows are cut, as a list of lists.
-
-    Cuts are quantiles over (key, order) of a hash-chosen sample, so reruns of a lost
-    task see the same ones. The sample is bounded by the number of slices, and at most
-    ``slices`` cut rows remain whatever the size of ``df``.
-    """
-    rate = max(1, rows // (slices * _SAMPLES_PER_SLICE))
-    place = F.struct(F.col(_KEY).alias("key"), _struct(order).alias("here"))
-    sample = (
-        df.select(place.alias("place"))
-        .where(F.pmod(F.xxhash64("place"), F.lit(rate)) == 0)
-        .dropDuplicates()
-    )
-    tiled = sample.select("place", F.ntile(slices).over(Window.orderBy("place")).alias("tile"))
-    cuts = tiled.groupBy("tile").agg(F.min("place").alias("cut")).where(F.col("tile") > 1)
-    per_key = cuts.groupBy(F.col("cut.key").alias(_KEY)).agg(
-        F.array_sort(F.collect_list("cut.here")).alias("cuts")
-    )
-    width = F.ceil(F.sqrt(F.size("cuts"))).cast("int")
-    starts = F.sequence(F.lit(1), F.size("cuts"), width)
-    groups = F.transform(starts, lambda start: F.slice(F.col("cuts"), start, width))
-    return per_key.select(_KEY, width.alias("_width"), groups.alias("_groups"))
-
-
-def with_slices(
+def laid_out(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None
-) -> DataFrame | None:
-    """Add ``_key`` and ``_slice``, which never decreases along ``order`` within a key.
+) -> DataFrame:
+    """``df`` with ``SLICE``: range partitions over (keys, order), numbered in that order.
 
-    ``None`` when the input is small enough for one task. The two-level search keeps the
-    work per row at the square root of the number of cuts.
+    This is the one shuffle of the rows. They are stored in the shared folder, bucketed by
+    ``SLICE``, so that later jobs see the same partitions and windows inside them need no
+    shuffle. ``slices`` defaults to the session's shuffle partitions. The catalog entry that
+    buckets need is dropped at once; the files stay for whoever cleans the folder.
     """
-    rows = cache(df.count)
-    count = _slice_count(df, rows) if slices is None else slices
-    if count == 1:
-        return None
-    keyed = df.withColumn(_KEY, _struct(keys))
-    cuts = _split_points(keyed, order, count, rows())
-    # At most MAX_SLICES cuts exist in total, so the table is always small.
-    cuts = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
-    here = _struct(order)
-    # Columns of their own: repeated inline, the search would run once per mention.
-    placed = keyed.join(F.broadcast(cuts), _KEY, "left").withColumn(
-        "_group", F.size(F.filter("_groups", lambda cut_list: cut_list[0] <= here))
+    spark = df.sparkSession
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(slices, *keys, *order).withColumn(SLICE, F.spark_partition_id())
+    name = f"spark_catalog.default.ordered_{uuid.uuid4().hex}"
+    writer = ranged.write.format("parquet").bucketBy(slices, SLICE)
+    writer.option("path", scratch_path(spark, "ordered")).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return out
+
+
+def _carried(local: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, carry) -> DataFrame:
+    """(SLICE, _first, _carried): what ``carry`` makes, for the first key of every partition, of
+    ``value`` in the last rows of the partitions before it that end with that key.
+
+    One row per partition goes in and comes out, whatever the number of rows and keys.
+    """
+    key, place = _struct(keys), _struct([*keys, *order])
+    ends = local.groupBy(SLICE).agg(
+        F.min(key).alias("_first"), F.max(key).alias("_last"), F.max_by(value, place).alias("_end")
     )
-    group = F.col("_group")
-    cuts_of_group = F.element_at("_groups", F.greatest(group, F.lit(1)))
-    inside = F.size(F.filter(cuts_of_group, lambda cut: cut <= here))
-    number = F.when(group > 0, (group - 1) * F.col("_width") + inside).otherwise(F.lit(0))
-    return placed.select(*df.columns, _KEY, number.alias(_SLICE))
-
-
-def _window(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(*order)
-
-
-_ROWS_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+    gives = ends.select(F.col("_last").alias("_key"), SLICE, F.lit(1).alias("_gives"), "_end")
+    nothing = F.lit(None).cast(ends.schema["_end"].dataType).alias("_end")
+    asks = ends.select(F.col("_first").alias("_key"), SLICE, F.lit(0).alias("_gives"), nothing)
+    before = Window.partitionBy("_key").orderBy(SLICE, "_gives")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    answers = asks.unionByName(gives).withColumn("_carried", carry("_end").over(before))
+    return answers.where("_gives = 0").select(SLICE, F.col("_key").alias("_first"), "_carried")
 
 
 def lag_by_key(
@@ -125,21 +85,20 @@ def lag_by_key(
 
     ``order`` must be a total order within a key.
     """
-    sliced = with_slices(df, keys, order, slices)
-    if sliced is None:
-        return df.withColumn(alias, F.lag(value).over(_window(keys, order)))
-    ends = sliced.groupBy(_KEY, _SLICE).agg(F.max_by(value, _struct(order)).alias("_end"))
-    carried = ends.select(
-        _KEY, _SLICE, F.lag("_end").over(_window([_KEY], [_SLICE])).alias("_carried")
-    )
-    window = _window([_KEY, _SLICE], order)
-    local = sliced.select(
+    rows = laid_out(df, keys, order, slices)
+    window = Window.partitionBy(SLICE, *keys).orderBy(*order)
+    local = rows.select(
         "*",
         F.lag(value).over(window).alias("_local"),
         (F.row_number().over(window) == 1).alias("_is_head"),
     )
-    previous = F.when(F.col("_is_head"), F.col("_carried")).otherwise(F.col("_local"))
-    return local.join(carried, [_KEY, _SLICE], "left").select(*df.columns, previous.alias(alias))
+    # In a struct, a NULL of the last row differs from having no row.
+    carried = _carried(rows, keys, order, F.struct(value), lambda end: F.last(end, ignorenulls=True))
+    own = F.when(_struct(keys).eqNullSafe(F.col("_first")), F.col("_carried")[value])
+    previous = F.when(F.col("_is_head"), own).otherwise(F.col("_local"))
+    # One row per range partition.
+    joined = local.join(F.broadcast(carried), SLICE, "left")
+    return joined.select(*df.columns, previous.alias(alias))
 
 
 def _added(a: Column, b: Column, kind: T.DataType) -> Column:
@@ -158,24 +117,31 @@ def running_sum(
     alias: str,
     slices: int | None = None,
 ) -> DataFrame:
-    """Sum of ``value`` from the first row of the key to this one (ROWS frame)."""
-    sliced = with_slices(df, keys, order, slices)
-    if sliced is None:
-        window = _window(keys, order).rowsBetween(*_ROWS_SO_FAR)
-        return df.withColumn(alias, F.sum(value).over(window))
-    totals = sliced.groupBy(_KEY, _SLICE).agg(F.sum(value).alias("_total"))
-    earlier = _window([_KEY], [_SLICE]).rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(_KEY, _SLICE, F.sum("_total").over(earlier).alias("_before"))
-    window = _window([_KEY, _SLICE], order).rowsBetween(*_ROWS_SO_FAR)
-    local = sliced.select("*", F.sum(value).over(window).alias("_local"))
+    """Sum of ``value`` from the first row of the key to this one (ROWS frame).
+
+    A scan in two levels: sums run inside the range partitions, and what the first key of a
+    partition had before is the sum of the last totals of the partitions that end with it.
+    """
+    rows = laid_out(df, keys, order, slices)
+    window = Window.partitionBy(SLICE, *keys).orderBy(*order).rowsBetween(*_ROWS_SO_FAR)
+    local = rows.select("*", F.sum(value).over(window).alias("_local"))
+    carried = _carried(local, keys, order, F.col("_local"), F.sum)
+    before = F.when(_struct(keys).eqNullSafe(F.col("_first")), F.col("_carried"))
     # The type of the plain window, whatever the sum of sums would have.
     kind = df.select(F.sum(value).alias(alias)).schema[alias].dataType
-    so_far = F.coalesce(_added(F.col("_before"), F.col("_local"), kind), "_local", "_before").cast(kind)
-    return local.join(before, [_KEY, _SLICE], "left").select(*df.columns, so_far.alias(alias))
+    so_far = F.coalesce(_added(before, F.col("_local"), kind), "_local", before).cast(kind)
+    # One row per range partition.
+    joined = local.join(F.broadcast(carried), SLICE, "left")
+    return joined.select(*df.columns, so_far.alias(alias))
 
 
 def running_sum_with_peers(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, alias: str
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    value: str,
+    alias: str,
+    slices: int | None = None,
 ) -> DataFrame:
     """Running sum in which rows of equal ``order`` count together (default RANGE frame).
 
@@ -183,7 +149,7 @@ def running_sum_with_peers(
     per distinct order value.
     """
     peers = df.groupBy(*keys, order).agg(F.sum(value).alias("_peers"))
-    running = running_sum(peers, keys, [order], "_peers", alias)
+    running = running_sum(peers, keys, [order], "_peers", alias, slices)
     marks = [*keys, order]
     running = running.select(*[F.col(m).alias(f"_r_{m}") for m in marks], alias)
     match = [F.col(m).eqNullSafe(F.col(f"_r_{m}")) for m in marks]
@@ -209,33 +175,38 @@ def latest_by_key(
     return ranked.drop("_rank", *exclude)
 
 
-# A page within the first rows is cheapest as a top-n on the driver side.
-TOP_ROWS = 10_000
-
-
 def page(
     df: DataFrame,
     order: Sequence[str],
     number: int,
     size: int = 10,
     descending: bool = True,
-    top_rows: int = TOP_ROWS,
+    slices: int | None = None,
 ) -> tuple[DataFrame, int]:
     """One page of ordered rows and the page count; a page out of range becomes page 0.
 
-    ``order`` must be a total order over columns without NULLs. A top-n keeps every row
-    up to the page in one place, so deep pages number the rows in parallel instead.
+    ``order`` must be a total order over columns without NULLs. The counts of the range
+    partitions tell which of them hold the page; only those are read again and sorted, so a
+    deep page costs what the first one does.
     """
-    rows = df.count()
-    pages = max(1, math.ceil(rows / size))
+    laid = laid_out(df, [], order, slices)
+    # One row per range partition.
+    counts = sorted((row[SLICE], row["count"]) for row in laid.groupBy(SLICE).count().collect())
+    rows = sum(n for _, n in counts)
+    pages = max(1, -(-rows // size))
     if not 0 <= number < pages:
         number = 0
-    first = number * size
+    low, high = number * size, min(rows, (number + 1) * size)
+    if descending:
+        low, high = rows - high, rows - low
+    holding, skipped, at = [], 0, 0
+    for part, n in counts:
+        if at + n <= low:
+            skipped = at + n
+        elif at < high:
+            holding.append(part)
+        at += n
+    rising = laid.where(F.col(SLICE).isin(holding)).orderBy(*order)
+    wanted = rising.offset(low - skipped).limit(high - low)
     ordering = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
-    if first + size <= top_rows:
-        return df.orderBy(*ordering).offset(first).limit(size), pages
-    counted = df.withColumns({"_all": F.lit(1), "_one": F.lit(1).cast("long")})
-    placed = running_sum(counted, ["_all"], order, "_one", "_place")
-    place = F.lit(rows) - F.col("_place") if descending else F.col("_place") - 1
-    wanted = placed.where((place >= first) & (place < first + size))
     return wanted.orderBy(*ordering).select(*df.columns), pages

@@ -170,10 +170,12 @@ def audit_search(
     object_type: str | None = None,
     page: int = 0,
     page_size: int = 10,
+    slices: int | None = None,
 ) -> tuple[DataFrame, int]:
     """A page of the user's audit entries, newest first, and the number of pages."""
     found = audit_filter(log, user, action, env, object_type)
-    rows, pages = page_rows(found, ["action_timestamp", "action_id"], page, page_size)
+    order = ["action_timestamp", "action_id"]
+    rows, pages = page_rows(found, order, page, page_size, slices=slices)
     return (
         rows.select(
             "action_timestamp",
