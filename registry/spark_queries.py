@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timedelta
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from usagelens.session import scratch_path, use_utc
 from usagelens.sources import registry as sources
 from usagelens.sources import sample_logs as logs
 from usagelens.sources.sinks import VersionedTable, overwrite_partitions
-from usagelens.streaming import ingest, windows
+from usagelens.streaming import ingest, keyed, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,7 +105,7 @@ def behavior(spark, sf):
 
 @query("query_behavior_sliced", nullable=("idle_gap_seconds",))
 def behavior_sliced(spark, sf):
-    """The path large inputs take: every warehouse cut into slices of similar size."""
+    """More range partitions than warehouses: carries cross many of them."""
     return cost.query_behavior(qh(spark, sf), slices=32)
 
 
@@ -226,6 +226,12 @@ def audit_page(spark, sf):
     return rows
 
 
+@query("audit_search_deep_page")
+def audit_deep_page(spark, sf):
+    rows, _ = reports.audit_search(logs.activity_log(spark, sf), "U3", page=12, slices=16)
+    return rows
+
+
 @query("user_list")
 def all_users(spark, sf):
     return reports.user_list(logs.user_roles(spark, sf))
@@ -311,6 +317,15 @@ def tagged(spark, sf):
     return attribution.attribute_query_tags(tags, logs.query_tag_rules(spark))
 
 
+@query("attribute_query_tags_many_rules")
+def tagged_by_many(spark, sf):
+    """A rule per part, next to two of wildcards alone."""
+    tags = qh(spark, sf).select(
+        "query_id", F.concat("query_tag", F.lit("/"), "query_id").alias("query_tag")
+    )
+    return attribution.attribute_query_tags(tags, logs.part_tag_rules(spark, sf))
+
+
 @query("budget_alerts")
 def budgets(spark, sf):
     monthly = attribution.monthly_center_credits(
@@ -322,7 +337,7 @@ def budgets(spark, sf):
 query("alert_credit_quota")(lambda s, d: alerts.alert_credit_quota(metering(s, d), 10))
 query("alert_zero_rows")(lambda s, d: alerts.alert_zero_rows(qh(s, d), writes(s, d), AS_OF))
 query("alert_failed_logins")(
-    lambda s, d: alerts.alert_failed_logins(logs.login_history(s, d), n=2, window="1 hour")
+    lambda s, d: alerts.alert_failed_logins(logs.login_history(s, d), n=2, window=timedelta(hours=1))
 )
 query("alert_spilling")(lambda s, d: alerts.alert_spilling(spilling(s, d)))
 query("alert_long_queries")(lambda s, d: alerts.alert_long_queries(qh(s, d), 3600))
@@ -556,6 +571,13 @@ def monthly_running(spark, sf):
     return ordered.running_sum(monthly, ["sale_month"], ["sale_date", "sale_id"], "amount", "cumulative")
 
 
+@query("running_monthly_total_sliced")
+def monthly_running_sliced(spark, sf):
+    monthly = logs.sales(spark, sf).withColumn("sale_month", temporal.trunc_date("month", F.col("sale_date")))
+    order = ["sale_date", "sale_id"]
+    return ordered.running_sum(monthly, ["sale_month"], order, "amount", "cumulative", slices=150)
+
+
 @query("running_total_with_peers")
 def peers_running(spark, sf):
     return ordered.running_sum_with_peers(
@@ -563,6 +585,13 @@ def peers_running(spark, sf):
     )
 
 
+@query("running_total_with_peers_sliced")
+def peers_running_sliced(spark, sf):
+    return ordered.running_sum_with_peers(
+        logs.sales(spark, sf), ["customer_id"], "sale_date", "amount", "cumulative", slices=64
+    )
+
+
 @query("domain_mapping")
 def mapped_names(spark, sf):
     names = logs.query_history(spark, sf).select("query_id", "warehouse_name", "database_name")
@@ -733,11 +762,23 @@ def login_stream(spark, sf):
     return _windows(windows.failed_logins(stream, n=2, window="1 hour"), ["window_start", "user_name"])
 
 
+def _pushed(spark: SparkSession, sf: str, by: Column, parts: int = 3) -> DataFrame:
+    """The events as a stream of several files, cut by ``by``, one file a micro-batch."""
+    folder = scratch_path(spark, "pushed")
+    source = logs.table(spark, sf, "events")
+    source.repartitionByRange(parts, by).write.parquet(folder)
+    reader = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1)
+    return logs.with_k(reader.parquet(folder))
+
+
 @query("stream_activity_sessions")
 def session_stream(spark, sf):
-    stream = logs.queries_of(logs.event_stream(spark, sf))
+    stream = logs.queries_of(_pushed(spark, sf, F.col("ts")))
     active = stream.where(F.col("warehouse_name").isNotNull()).select("warehouse_name", "start_time")
-    return _run(windows.activity_sessions(active), "sessions")
+    table = keyed.SessionTable(spark, scratch_path(spark, "sessions"), ["warehouse_name"])
+    # Files are listed in no order of time.
+    table.feed(active, "start_time", late="60 days").awaitTermination()
+    return table.read()
 
 
 @query("stream_first_per_key")
@@ -765,14 +806,29 @@ def backfilled_stream(spark, sf):
     ingest.ingest_events(stream, log, "event_timestamp").awaitTermination()
     again = crm_events(spark, sf).where(F.col("event_type") == "signup")
     log.backfill(again, "event_timestamp", datetime(2024, 1, 8), datetime(2024, 1, 15))
+    # A second stream reads everything again; the backfill's range stays the backfill's.
+    second = f"{log.root}/checkpoint-second"
+    ingest.ingest_events(stream, log, "event_timestamp", None, checkpoint=second).awaitTermination()
     return log.current()
 
 
-@query("stream_latest_state")
-def latest_stream(spark, sf):
-    table = VersionedTable(spark, scratch_path(spark, "latest"))
-    stream = logs.event_stream(spark, sf).select(
+def _latest_users(spark, sf):
+    """Latest event per user, from files that hold times in no order."""
+    stream = _pushed(spark, sf, F.xxhash64("event_id")).select(
         F.col("user_id").alias("id"), "event_type", "value", "ts", "event_id"
     )
-    ingest.refresh_latest(stream, table, ["id"], ["ts", "event_id"]).awaitTermination()
-    return table.read()
+    location = scratch_path(spark, "latest")
+    table = keyed.LatestTable(spark, location, ["id"], ["ts", "event_id"], group="event_type")
+    table.feed(stream).awaitTermination()
+    return table
+
+
+@query("stream_latest_state")
+def latest_stream(spark, sf):
+    return _latest_users(spark, sf).read()
+
+
+@query("stream_active_count")
+def active_stream(spark, sf):
+    """Counts kept by the stream; the group of a landing row is its event type."""
+    return _latest_users(spark, sf).counts().withColumnRenamed("event_type", "country")

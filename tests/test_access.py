@@ -62,6 +62,19 @@ def test_changes_statements_and_round_trip(spark):
     assert actions[("select", "none")] == ["REVOKE FIN_READER_DEV", "REVOKE FIN_ANALYST_DEV", "REVOKE FIN_WH_DEV_USER"]
 
 
+def test_changes_send_one_row_per_user_and_side(spark):
+    users = [f"U{i}" for i in range(50)]
+    places = [(d, e) for d in access.DOMAIN_PREFIXES for e in access.ENV_SUFFIXES]
+    current = level_frame(spark, *[(u, d, e, "select") for u in users for d, e in places]).coalesce(1)
+    desired = level_frame(spark, *[(u, d, e, "all") for u in users for d, e in places]).coalesce(1)
+    changes = access.grant_changes(current, desired)
+    assert changes.count() == 50 * 24
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and all("hashpartitioning(user" in line for line in exchanges)
+    assert plan.count("partial_bit_or") >= 2
+
+
 def test_missing_places(spark):
     current = level_frame(spark, ("A", "HR", "PROD", "all"))
     desired = level_frame(spark, ("A", "FINANCE", "PROD", "select"))

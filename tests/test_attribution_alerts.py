@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -48,16 +50,45 @@ def rules(spark):
     )
 
 
-def test_query_tags_ladder_and_pieces_agree(spark):
+def test_query_tags_by_anchors(spark):
     qh = spark.createDataFrame([("q1", "team-x"), ("q2", "a team"), ("q3", None), ("q4", "teamwork"), ("q5", "none"), ("q6", "team-x")], "query_id string, query_tag string")
-    expected = {"q1": "D2", "q2": "D1", "q3": None, "q4": "D1", "q5": None, "q6": "D2"}
-    for limit in (200, 1):
-        got = attribution.attribute_query_tags(qh, rules(spark), ladder_rules=limit)
-        assert {r.query_id: r.rule_domain for r in got.collect()} == expected
-    plan = attribution.attribute_query_tags(qh, rules(spark))._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan and "Exchange" not in plan
+    got = attribution.attribute_query_tags(qh, rules(spark))
+    assert {r.query_id: r.rule_domain for r in got.collect()} == {"q1": "D2", "q2": "D1", "q3": None, "q4": "D1", "q5": None, "q6": "D2"}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     nothing = attribution.attribute_query_tags(qh, rules(spark).limit(0))
-    assert nothing.where("rule_domain is not null").count() == 0
+    assert nothing.count() == 6 and nothing.where("rule_domain is not null").count() == 0
+
+
+def like(pattern, text):
+    out, i = "", 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+            out += re.escape(pattern[i])
+        else:
+            out += {"%": ".*", "_": "."}.get(c, re.escape(c))
+        i += 1
+    return re.fullmatch(out, text, re.DOTALL) is not None
+
+
+def test_query_tags_equal_all_pairs(spark):
+    rng = random.Random(4)
+    tags = ["".join(rng.choice("ab%_\\x") for _ in range(rng.randint(0, 14))) for _ in range(300)]
+    patterns = sorted(
+        {"".join(rng.choice(["a", "b", "ab", "%", "_", "\\%", "\\_", "\\\\", "xbaabax"]) for _ in range(rng.randint(1, 6))) for _ in range(400)}
+        | {"%", "___", "_%", "", "%%%%"}
+    )
+    qh = spark.createDataFrame([(f"q{i}", t) for i, t in enumerate(tags)], "query_id string, query_tag string")
+    config = spark.createDataFrame(
+        [(p, f"D{i}", "C", "p", True) for i, p in enumerate(patterns)],
+        "tag_pattern string, domain string, cost_center_code string, pipeline_name string, is_active boolean",
+    )
+    got = {r.query_tag: r.tag_pattern for r in attribution.attribute_query_tags(qh, config).collect()}
+    for tag in tags:
+        found = sorted((p for p in patterns if like(p, tag)), key=lambda p: (-len(p), p))
+        assert got[tag] == (found[0] if found else None), tag
 
 
 def test_credit_quota(spark, rows):
@@ -75,10 +106,30 @@ def test_zero_rows(spark, rows):
     assert rows(alerts.alert_zero_rows(qh, writes, as_of)) == [("B",), ("C",)]
 
 
-def test_failed_logins(spark):
-    rows = [(JAN + timedelta(seconds=s), "U", ok) for s, ok in ((0, "NO"), (10, "NO"), (20, "NO"), (30, "YES"), (400, "NO"))]
-    got = alerts.alert_failed_logins(spark.createDataFrame(rows, "event_timestamp timestamp_ntz, user_name string, is_success string"), n=3)
-    assert [(r.window_start, r.failures) for r in got.collect()] == [(JAN, 3)]
+LOGINS = "event_timestamp timestamp_ntz, user_name string, is_success string"
+
+
+def test_failed_logins_across_a_window_edge(spark):
+    rows = [(JAN + timedelta(seconds=s), "U", ok) for s, ok in ((290, "NO"), (295, "NO"), (305, "NO"), (310, "YES"), (700, "NO"))]
+    got = alerts.alert_failed_logins(spark.createDataFrame([*rows, (None, "U", "NO")], LOGINS), n=3)
+    assert [(r.window_start, r.window_end, r.failures) for r in got.collect()] == [
+        (JAN + timedelta(seconds=5), JAN + timedelta(seconds=305), 3)
+    ]
+
+
+def test_failed_logins_equal_counting_by_hand(spark):
+    rng = random.Random(2)
+    rows = [(JAN + timedelta(seconds=rng.randint(0, 6000)), rng.choice("AAAB"), rng.choice(["NO", "NO", "YES"])) for _ in range(600)]
+    expected = set()
+    for user in "AB":
+        at = [ts for ts, name, ok in rows if name == user and ok == "NO"]
+        for ts in at:
+            n = sum(timedelta() <= ts - other <= timedelta(minutes=1) for other in at)
+            if n >= 4:
+                expected.add((user, ts - timedelta(minutes=1), ts, n))
+    for stretch in (1, 3, 1000):
+        got = alerts.alert_failed_logins(spark.createDataFrame(rows, LOGINS), 4, timedelta(minutes=1), stretch)
+        assert sorted(map(tuple, got.collect())) == sorted(expected)
 
 
 def test_simple_limits(spark, rows):

@@ -1,12 +1,14 @@
 import os
+import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from usagelens.operators.ordered import latest_by_key
 from usagelens.session import scratch_path
 from usagelens.sources.sinks import VersionedTable
-from usagelens.streaming import ingest, windows
+from usagelens.streaming import ingest, keyed, windows
 
 T0 = datetime(2024, 1, 1)
 EVENTS = "event_id string, event_timestamp timestamp_ntz, v string"
@@ -65,8 +67,14 @@ def test_backfill_replaces_its_range_only(spark, rows):
     log.store(spark.createDataFrame([("a", at(1), "x"), ("b", at(5), "x"), ("c", at(9), "x"), (None, at(6), "x")], EVENTS), 0)
     log.backfill(spark.createDataFrame([("d", at(6), "new"), ("a", at(1), "outside")], EVENTS), "event_timestamp", at(5), at(8))
     assert rows(log.current(), "event_id", "v") == [("a", "x"), ("c", "x"), ("d", "new")]
-    log.store(spark.createDataFrame([("b", at(5), "later")], EVENTS), 1)
-    assert ("b", "later") in rows(log.current(), "event_id", "v")
+    # What a stream stores of the range later, as by reading its overlap again, stays hidden.
+    log.store(spark.createDataFrame([("b", at(5), "later"), ("d", at(6), "later"), ("c", at(9), "later")], EVENTS), 1)
+    assert rows(log.current(), "event_id", "v") == [("a", "x"), ("c", "later"), ("d", "new")]
+    # A later backfill takes over what it covers; one without its cut does not count.
+    log.backfill(spark.createDataFrame([("e", at(7), "second")], EVENTS), "event_timestamp", at(6.5), at(9.5))
+    assert rows(log.current(), "event_id", "v") == [("a", "x"), ("d", "new"), ("e", "second")]
+    log.store(spark.createDataFrame([("f", at(7), "died")], EVENTS), 0, "backfill-died")
+    assert rows(log.current(), "event_id", "v") == [("a", "x"), ("d", "new"), ("e", "second")]
 
 
 def test_open_windows_are_kept_and_late_rows_counted(spark, rows):
@@ -113,6 +121,74 @@ def test_latest_table_resolves_out_of_order(spark, rows):
     assert rows(table.read(), "event_id", "v") == [("a", "five"), ("b", "two")]
 
 
+def test_latest_rows_and_counts_over_micro_batches(spark, rows):
+    shape = "id long, grp string, at timestamp_ntz, amount decimal(12,2), big long"
+    rng = random.Random(5)
+    everything, folder = [], scratch_path(spark, "push")
+    table = keyed.LatestTable(spark, scratch_path(spark, "latest"), ["id"], ["at", "big"], group="grp")
+    for name in "123":
+        batch = [
+            (rng.choice([None, *range(12)]), rng.choice(["x", "y", None]), rng.choice([None, at(rng.randint(0, 50))] + [at(3)] * 3),
+             Decimal(rng.randint(0, 999)) / 100, 2**60 + len(everything) + i)
+            for i in range(40)
+        ]
+        everything += batch
+        push(spark, folder, name, batch, shape)
+        # The query goes on from its checkpoint, with the state of the former runs.
+        table.feed(reader(spark, folder, shape)).awaitTermination()
+        batch_rows = spark.createDataFrame(everything, shape)
+        expected = latest_by_key(batch_rows, ["id"], ["at", "big"])
+        assert rows(table.read(), *batch_rows.columns) == rows(expected)
+        true = expected.where("id IS NOT NULL").groupBy("grp").agg(F.count("*").alias("active_users"))
+        assert rows(table.counts()) == rows(true)
+
+
+def test_latest_rows_written_once_per_change(spark, rows):
+    folder, root = scratch_path(spark, "push"), scratch_path(spark, "latest")
+    push(spark, folder, "1", [("a", at(5), "five"), ("b", at(1), "one")])
+    push(spark, folder, "2", [("a", at(3), "three"), ("b", at(2), "two")])
+    table = keyed.LatestTable(spark, root, ["event_id"], ["event_timestamp"])
+    table.feed(reader(spark, folder)).awaitTermination()
+    assert rows(spark.read.parquet(f"{root}/changes"), "event_id", "v", "batch_id") == [("a", "five", 0), ("b", "one", 0), ("b", "two", 1)]
+    assert rows(table.read(), "event_id", "v") == [("a", "five"), ("b", "two")]
+
+
+def sessions_of(times, gap=60):
+    out = []
+    for t in sorted(times):
+        if out and t <= out[-1][1]:
+            out[-1] = (out[-1][0], t + gap, out[-1][2] + 1)
+        else:
+            out.append((t, t + gap, 1))
+    return out
+
+
+def test_sessions_equal_batch_answer_with_open_ends(spark):
+    shape = "warehouse_name string, start_time timestamp_ntz"
+    rng, folder = random.Random(6), scratch_path(spark, "push")
+    table = keyed.SessionTable(spark, scratch_path(spark, "sessions"), ["warehouse_name"], stretch=timedelta(minutes=10), shards=3)
+    seconds = []
+    for name in "123":
+        # A burst that crosses stretches, and single starts; later files lie later but overlap.
+        base = int(name) * 3000
+        new = [("hot", base + rng.randint(0, 2500)) for _ in range(120)]
+        new += [("hot", base + 100 + 50 * i) for i in range(30)] + [("cold", base + rng.randint(-600, 2500)) for _ in range(8)]
+        seconds += new
+        push(spark, folder, name, [(w, T0 + timedelta(seconds=t)) for w, t in new], shape)
+        table.feed(reader(spark, folder, shape), "start_time").awaitTermination()
+        got = sorted((r.warehouse_name, r.window_start, r.window_end, r.queries) for r in table.read().collect())
+        expected = sorted(
+            (w, T0 + timedelta(seconds=a), T0 + timedelta(seconds=b), n)
+            for w in ("hot", "cold")
+            for a, b, n in sessions_of([t for x, t in seconds if x == w])
+        )
+        assert got == expected
+
+
+def test_intervals_that_meet_are_merged():
+    assert keyed.merged([(5, 9, 1), (0, 5, 2), (10, 12, 1), (11, 11, 4)]) == [(0, 9, 3), (10, 12, 5)]
+
+
 def test_latest_state_aggregate(spark, rows):
     folder = scratch_path(spark, "push")
     push(spark, folder, "1", [("a", at(5), "five"), ("b", at(1), "one")])

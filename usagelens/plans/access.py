@@ -54,14 +54,14 @@ TAG_VALUES: dict[str, tuple[str, ...] | None] = {
     "DATA_CLASSIFICATION": ("CONFIDENTIAL", "INTERNAL", "PUBLIC"),
 }
 
-# Role actions per change of level. Analyst and warehouse roles go when access ends.
+# Role actions per change of level: fixed values. Analyst and warehouse roles go when access ends.
 _TRANSITIONS = {
-    ("none", "select"): ("GRANT READER", "GRANT WAREHOUSE"),
-    ("none", "all"): ("GRANT ADMIN", "GRANT WAREHOUSE"),
-    ("select", "all"): ("REVOKE READER", "GRANT ADMIN"),
-    ("all", "select"): ("REVOKE ADMIN", "GRANT READER"),
-    ("select", "none"): ("REVOKE READER", "REVOKE ANALYST", "REVOKE WAREHOUSE"),
-    ("all", "none"): ("REVOKE ADMIN", "REVOKE ANALYST", "REVOKE WAREHOUSE"),
+    ("none", "select"): (("GRANT", "READER"), ("GRANT", "WAREHOUSE")),
+    ("none", "all"): (("GRANT", "ADMIN"), ("GRANT", "WAREHOUSE")),
+    ("select", "all"): (("REVOKE", "READER"), ("GRANT", "ADMIN")),
+    ("all", "select"): (("REVOKE", "ADMIN"), ("GRANT", "READER")),
+    ("select", "none"): (("REVOKE", "READER"), ("REVOKE", "ANALYST"), ("REVOKE", "WAREHOUSE")),
+    ("all", "none"): (("REVOKE", "ADMIN"), ("REVOKE", "ANALYST"), ("REVOKE", "WAREHOUSE")),
 }
 
 
@@ -88,6 +88,24 @@ def _level_role(level: Column, domain: Column, env: Column) -> Column:
     )
 
 
+def _places(domains: Sequence[str]) -> list[tuple[int, int, str, str]]:
+    """(block, bit, domain, environment) of every place."""
+    combos = [(d, e) for d in domains for e in ENV_SUFFIXES]
+    return [(i // PLACES_PER_BLOCK, 1 << i % PLACES_PER_BLOCK, *combo) for i, combo in enumerate(combos)]
+
+
+def _per_block(places: list, bit: Column, name: str) -> Column:
+    """Bits of a group's rows as one long per block, gathered with partial aggregation."""
+    blocks = range(places[-1][0] + 1 if places else 0)
+    gathered = [F.coalesce(F.bit_or(F.when(F.col("block") == b, bit)), F.lit(0)) for b in blocks]
+    return F.array(*[bits.cast("long") for bits in gathered]).alias(name)
+
+
+def _has(mask: str, place: Column | None = None) -> Column:
+    block, bit = (F.col("block"), F.col("bit")) if place is None else (place["block"], place["bit"])
+    return F.coalesce(F.get(mask, block), F.lit(0)).bitwiseAND(bit) != 0
+
+
 def domain_grant_levels(
     user_roles: DataFrame, users: DataFrame, domains: Sequence[str] = tuple(DOMAIN_PREFIXES)
 ) -> DataFrame:
@@ -97,8 +115,7 @@ def domain_grant_levels(
     aggregation, so a user with very many grants sends two numbers per block of places to the
     shuffle. The places are then spelled out from a constant array.
     """
-    combos = [(d, e) for d in domains for e in ENV_SUFFIXES]
-    places = [(i // PLACES_PER_BLOCK, 1 << i % PLACES_PER_BLOCK, *combo) for i, combo in enumerate(combos)]
+    places = _places(domains)
     known = [
         (f"{DOMAIN_PREFIXES[d]}_{tier}{ENV_SUFFIXES[e]}", block, bit * (tier == "ADMIN"), bit * (tier == "READER"))
         for block, bit, d, e in places
@@ -108,41 +125,70 @@ def domain_grant_levels(
     bits = user_roles.sparkSession.range(1).select(
         F.inline(constant_rows(["role", "block", "admin", "reader"], known))
     )
-    blocks = range(places[-1][0] + 1 if places else 0)
-
-    def per_block(mask: str) -> Column:
-        return F.array(*[F.bit_or(F.when(F.col("block") == b, F.col(mask))) for b in blocks]).alias(mask)
-
-    held = (
-        user_roles.join(F.broadcast(bits), "role").groupBy("user").agg(per_block("admin"), per_block("reader"))
-    )
-    grid = constant_rows(["block", "bit", "domain", "env"], places)
+    masks = [_per_block(places, F.col(tier), tier) for tier in ("admin", "reader")]
+    held = user_roles.join(F.broadcast(bits), "role").groupBy("user").agg(*masks)
     spelled = users.select("user").distinct().join(held, "user", "left").select(
-        "user", "admin", "reader", F.inline(grid)
+        "user", "admin", "reader", F.inline(constant_rows(["block", "bit", "domain", "env"], places))
     )
+    level = F.when(_has("admin"), "all").when(_has("reader"), "select").otherwise("none")
+    return spelled.select("user", "domain", "env", level.alias("level"))
 
-    def holds(mask: str) -> Column:
-        return F.get(mask, F.col("block")).bitwiseAND(F.col("bit")) != 0
 
-    level = F.when(holds("admin"), "all").when(holds("reader"), "select").otherwise("none")
-    return spelled.select("user", "domain", "env", level.alias("level"))
+def _level_masks(levels: DataFrame, side: str) -> DataFrame:
+    """One row per user: the bits of places with level ``all``, with ``select``, with any."""
+    places = _places(tuple(DOMAIN_PREFIXES))
+    # One row per place: a table of constant size.
+    bits = levels.sparkSession.range(1).select(
+        F.inline(constant_rows(["block", "bit", "domain", "env"], places))
+    )
+    level, bit = F.col("level"), F.col("bit")
+    return (
+        levels.join(F.broadcast(bits), ["domain", "env"])
+        .groupBy("user")
+        .agg(
+            _per_block(places, F.when(level == "all", bit), f"{side}_all"),
+            _per_block(places, F.when(level == "select", bit), f"{side}_select"),
+            _per_block(places, bit, f"{side}_known"),
+        )
+    )
 
 
 def grant_changes(current: DataFrame, desired: DataFrame) -> DataFrame:
     """Levels that differ between ``current`` and ``desired``.
 
     A place missing from ``current`` counts as ``none``; one missing from ``desired`` is
-    left as it is.
+    left as it is. Of several levels of a user in one place the higher counts. Each side is
+    one row of bit masks per user before the two meet; only the places whose bits differ are
+    spelled out.
     """
-    place = ["user", "domain", "env"]
-    both = desired.withColumnRenamed("level", "to_level").join(
-        current.withColumnRenamed("level", "from_level"), place, "left"
+    both = _level_masks(desired, "new").join(_level_masks(current, "old"), "user", "left")
+    grid = constant_rows(["block", "bit", "domain", "env"], _places(tuple(DOMAIN_PREFIXES)))
+
+    def of_block(mask: str, block: Column) -> Column:
+        return F.coalesce(F.get(mask, block), F.lit(0).cast("long"))
+
+    def differs(place: Column) -> Column:
+        def moved(tier: str) -> Column:
+            new, old = (of_block(f"{side}_{tier}", place["block"]) for side in ("new", "old"))
+            return new.bitwiseXOR(old)
+
+        changed = moved("all").bitwiseOR(moved("select"))
+        return changed.bitwiseAND(of_block("new_known", place["block"])).bitwiseAND(place["bit"]) != 0
+
+    masks = [f"{side}_{tier}" for side in ("new", "old") for tier in ("all", "select")]
+    spelled = both.select("user", *masks, F.inline(F.filter(grid, differs)))
+
+    def level(side: str) -> Column:
+        return F.when(_has(f"{side}_all"), "all").when(_has(f"{side}_select"), "select").otherwise("none")
+
+    moved = spelled.select(
+        "user", "domain", "env", level("old").alias("from_level"), level("new").alias("to_level")
     )
-    both = both.withColumn("from_level", F.coalesce("from_level", F.lit("none")))
     old, new = F.col("from_level"), F.col("to_level")
     domain, env = F.col("domain"), F.col("env")
     change = F.when(old == "none", "Add").when(new == "none", "Remove").otherwise("Update")
     lasting = F.when(new == "none", old).otherwise(new)
+    # The words of the comment are fixed values.
     label = F.when(lasting == "select", "Reader").otherwise("Admin")
     verb = (
         F.when(old == "none", "Add grants ")
@@ -150,8 +196,10 @@ def grant_changes(current: DataFrame, desired: DataFrame) -> DataFrame:
         .otherwise("Update grants to ")
     )
     tag = F.concat(_lookup(DOMAIN_PREFIXES, domain), _lookup(ENV_SUFFIXES, env))
-    return both.where(old != new).select(
-        *place,
+    return moved.where(old != new).select(
+        "user",
+        "domain",
+        "env",
         "from_level",
         "to_level",
         change.alias("change"),
@@ -165,7 +213,7 @@ def grant_statements(changes: DataFrame) -> DataFrame:
     """Ordered role actions implied by each change of level."""
     steps = F
     for (old, new), actions in _TRANSITIONS.items():
-        listed = constant_rows(["action", "tier"], [text.split() for text in actions])
+        listed = constant_rows(["action", "tier"], list(actions))
         happened = (F.col("from_level") == old) & (F.col("to_level") == new)
         steps = steps.when(happened, listed)
     prefix, suffix = F.col("prefix"), F.col("suffix")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.functions.temporal import at
@@ -33,16 +33,33 @@ def alert_zero_rows(qh: DataFrame, writes: DataFrame, as_of: datetime, hours: in
     return known.join(loads, "full_table_name", "left_anti")
 
 
-def alert_failed_logins(logins: DataFrame, n: int = 3, window: str = "5 minutes") -> DataFrame:
-    """Users with at least ``n`` failed logins inside one window."""
-    failed = logins.where(F.col("is_success") == "NO")
-    counts = failed.groupBy("user_name", F.window("event_timestamp", window).alias("w")).agg(
-        F.count("*").alias("failures")
-    )
-    return counts.where(F.col("failures") >= n).select(
+def alert_failed_logins(
+    logins: DataFrame, n: int = 3, window: timedelta = timedelta(minutes=5), stretch: int = 12
+) -> DataFrame:
+    """Moments at which a user's failed logins of the last ``window`` number at least ``n``.
+
+    The window slides with every failure, both ends included. Failures of one moment are
+    counted before the shuffle, and a user's time is cut into stretches of so many windows,
+    each with the last window before it, so a user under attack does not fill one task.
+    """
+    width = window // timedelta(microseconds=1)
+    length = width * stretch
+    failed = logins.where((F.col("is_success") == "NO") & F.col("event_timestamp").isNotNull())
+    moments = failed.groupBy(
+        "user_name", F.unix_micros(F.col("event_timestamp").cast("timestamp")).alias("_at")
+    ).agg(F.count("*").alias("_n"))
+    own = F.floor(F.col("_at") / length)
+    needed_next = F.col("_at") >= (own + 1) * length - width
+    stretches = F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own))
+    last = Window.partitionBy("user_name", "_stretch").orderBy("_at").rangeBetween(-width, 0)
+    counted = moments.select(
+        "user_name", "_at", "_n", own.alias("_own"), F.explode(stretches).alias("_stretch")
+    ).withColumn("failures", F.sum("_n").over(last))
+    hit = counted.where((F.col("_stretch") == F.col("_own")) & (F.col("failures") >= n))
+    return hit.select(
         "user_name",
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        F.timestamp_micros(F.col("_at") - width).cast("timestamp_ntz").alias("window_start"),
+        F.timestamp_micros("_at").cast("timestamp_ntz").alias("window_end"),
         "failures",
     )
 

@@ -13,9 +13,6 @@ from usagelens.functions.numeric import percentage
 from usagelens.functions.temporal import trunc_date
 from usagelens.session import Settings
 
-# Rules up to this number become one CASE ladder; more are joined in pieces of it.
-LADDER_RULES = 200
-
 
 def _active(config: DataFrame) -> DataFrame:
     return config.where(F.coalesce("is_active", F.lit(True)))
@@ -84,45 +81,97 @@ def _one_rule_per_pattern(rules: DataFrame) -> DataFrame:
     return renamed.groupBy("tag_pattern").agg(first).select("rule.*")
 
 
-def attribute_query_tags(
-    qh: DataFrame, rules: DataFrame, ladder_rules: int = LADDER_RULES
-) -> DataFrame:
-    """Domain, cost center and pipeline of the rule matching a query's tag.
+# Runs of literal characters of a LIKE pattern, escaped ones included, and the longest piece
+# of one that serves as its anchor.
+_LITERALS = r"((?:[^%_\\]|\\.)+)"
+ANCHOR = 8
 
-    Of several matching rules the longest pattern wins, then the alphabetically first. A
-    configuration of ordinary size turns into a CASE ladder in that order, so queries are
-    neither joined nor shuffled. A larger one is matched against the distinct tags in
-    pieces of bounded size.
-    """
-    distinct_rules = _one_rule_per_pattern(rules)
-    ranking = [F.length("tag_pattern").desc(), F.col("tag_pattern").asc()]
-    top = distinct_rules.orderBy(*ranking).limit(ladder_rules + 1).collect()
-    if len(top) > ladder_rules:
-        matched = _match_in_pieces(qh, distinct_rules, ladder_rules)
-        return qh.join(matched, "query_tag", "left").select(*qh.columns, *_RULE_FIELDS)
 
-    def value(rule) -> Column:
-        return F.struct(*[F.lit(rule[f]).cast("string").alias(f) for f in _RULE_FIELDS])
+def _pieces(text: Column, size: Column) -> Column:
+    """Distinct substrings of ``size`` characters."""
+    last = F.char_length(text) - size + 1
+    starts = F.sequence(F.lit(1), F.greatest(last, F.lit(1)))
+    found = F.transform(starts, lambda start: F.substring(text, start, size))
+    return F.when(last >= 1, F.array_distinct(found)).otherwise(F.array().cast("array<string>"))
+
+
+def _anchored(patterns: DataFrame, tags: DataFrame) -> DataFrame:
+    """(query_tag, tag_pattern) of all matches of patterns with a literal character.
+
+    Every pattern is filed under one substring of its literals, the one fewest tags hold. A
+    tag looks up its own substrings and is compared with the patterns filed there only.
+    """
+    literals = F.transform(
+        F.regexp_extract_all("tag_pattern", F.lit(_LITERALS), 1),
+        lambda run: F.regexp_replace(run, r"\\(.)", "$1"),
+    )
+    sized = patterns.withColumn("_literals", literals).withColumn(
+        "_size", F.least(F.array_max(F.transform("_literals", F.char_length)), F.lit(ANCHOR))
+    )
+    # At most ANCHOR values.
+    sizes = [row["_size"] for row in sized.select("_size").distinct().collect()]
+    sizes = sorted(size for size in sizes if size is not None)
+    own = F.flatten(F.transform("_literals", lambda run: _pieces(run, F.col("_size"))))
+    filed = sized.where(F.col("_size").isNotNull()).select(
+        "tag_pattern", F.explode(F.array_distinct(own)).alias("piece")
+    )
+    probes = [_pieces(F.col("query_tag"), F.lit(size)) for size in sizes]
+    held = F.flatten(F.array(*probes)) if probes else F.array().cast("array<string>")
+    asked = tags.select("query_tag", F.explode(held).alias("piece"))
+    holders = asked.groupBy("piece").agg(F.count("*").alias("tags"))
+    rarest = (
+        filed.join(holders, "piece")
+        .groupBy("tag_pattern")
+        .agg(
+            F.min_by("piece", F.struct("tags", "piece")).alias("piece"),
+            F.count("*").alias("found"),
+        )
+    )
+    # A pattern one of whose pieces no tag holds matches nothing.
+    pieces = filed.groupBy("tag_pattern").agg(F.count("*").alias("all"))
+    anchors = rarest.join(pieces, "tag_pattern").where(F.col("found") == F.col("all"))
+    matches = asked.join(anchors.select("tag_pattern", "piece"), "piece")
+    return matches.where(F.like("query_tag", F.col("tag_pattern"))).select("query_tag", "tag_pattern")
+
+
+def _by_length(patterns: DataFrame, tags: DataFrame) -> DataFrame:
+    """(query_tag, tag_pattern): for every tag the best pattern of wildcards alone, which
+    asks for its length only."""
+    needed = F.char_length(F.regexp_replace("tag_pattern", "%", ""))
+    wild = patterns.where(F.size(F.regexp_extract_all("tag_pattern", F.lit(_LITERALS), 1)) == 0)
+    if wild.isEmpty():
+        return wild.select(F.lit("").alias("query_tag"), "tag_pattern")
+    longest = tags.agg(F.max(F.char_length("query_tag"))).first()[0] or 0
+    lengths = F.when(
+        F.contains("tag_pattern", F.lit("%")), F.sequence(needed, F.greatest(needed, F.lit(longest)))
+    ).otherwise(F.array(needed))
+    best = F.min(F.struct((-F.char_length("tag_pattern")).alias("rank"), "tag_pattern"))
+    per_length = (
+        wild.select("tag_pattern", F.explode(lengths).alias("_length"))
+        .groupBy("_length")
+        .agg(best.alias("best"))
+    )
+    return tags.join(per_length, F.char_length("query_tag") == F.col("_length")).select(
+        "query_tag", "best.tag_pattern"
+    )
 
-    nothing = F.struct(*[F.lit(None).cast("string").alias(f) for f in _RULE_FIELDS])
-    matched = F.when(F.lit(False), nothing)
-    for rule in top:
-        matched = matched.when(F.col("query_tag").like(rule["tag_pattern"]), value(rule))
-    return qh.withColumn("_rule", matched).select(*qh.columns, "_rule.*")
 
+def attribute_query_tags(qh: DataFrame, rules: DataFrame) -> DataFrame:
+    """Domain, cost center and pipeline of the rule matching a query's tag.
 
-def _match_in_pieces(qh: DataFrame, rules: DataFrame, piece_rules: int) -> DataFrame:
-    """Best rule per distinct tag. Patterns are distinct, so hashing spreads them evenly and
-    a piece, half full on average, is small enough to send to every task."""
+    Of several matching rules the longest pattern wins, then the alphabetically first. The
+    distinct tags are matched, whatever the number of rules, and the best rule of each is
+    joined to the queries.
+    """
+    distinct_rules = _one_rule_per_pattern(rules)
+    patterns = distinct_rules.select("tag_pattern")
     tags = qh.select("query_tag").where(F.col("query_tag").isNotNull()).distinct()
-    pieces = 2 * -(-rules.count() // piece_rules)
-    candidates = None
-    for number in range(pieces):
-        piece = rules.where(F.pmod(F.xxhash64("tag_pattern"), F.lit(pieces)) == number)
-        found = tags.join(F.broadcast(piece), F.like("query_tag", F.col("tag_pattern")))
-        candidates = found if candidates is None else candidates.unionByName(found)
-    per_length = candidates.groupBy("query_tag", F.length("tag_pattern").alias("_length")).agg(
-        F.min(F.struct(*_RULE_FIELDS)).alias("rule")
+    matches = _anchored(patterns, tags).unionByName(_by_length(patterns, tags))
+    best = F.min(F.struct((-F.char_length("tag_pattern")).alias("rank"), "tag_pattern"))
+    matched = (
+        matches.groupBy("query_tag")
+        .agg(best.alias("best"))
+        .select("query_tag", "best.tag_pattern")
+        .join(distinct_rules, "tag_pattern")
     )
-    best = per_length.groupBy("query_tag").agg(F.max_by("rule", "_length").alias("rule"))
-    return best.select("query_tag", "rule.*")
+    return qh.join(matched, "query_tag", "left").select(*qh.columns, *_RULE_FIELDS)

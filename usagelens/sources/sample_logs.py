@@ -362,6 +362,21 @@ def query_tag_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def part_tag_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many rules as parts: a team and the last digits of a query id."""
+    key = F.col("p_partkey")
+    team = F.concat(F.lit('%"t'), (key % 4).cast("string"), F.lit('"}/%'), key.cast("string"))
+    ends = F.concat(F.lit("%_"), key.cast("string"), F.lit("_"))
+    pattern = F.when(key == 1, "%").when(key == 2, F.repeat(F.lit("_"), 17))
+    return table(spark, sf_dir, "part").select(
+        pattern.when(key % 3 == 0, ends).otherwise(team).alias("tag_pattern"),
+        F.col("p_brand").alias("domain"),
+        F.concat(F.lit("CC"), (key % 5).cast("string")).alias("cost_center_code"),
+        F.concat(F.lit("pipeline "), key.cast("string")).alias("pipeline_name"),
+        (key % 11 != 0).alias("is_active"),
+    )
+
+
 def places() -> Column:
     """Domain x environment combinations in a fixed order, numbered from 0."""
     combos = [

@@ -36,7 +36,7 @@ def stream_events(
     return stream.select(*[F.col(old).alias(new) for old, new in columns.items()])
 
 
-def _triggered(writer, every: str | None):
+def triggered(writer, every: str | None):
     """Process what is there and stop, or keep running on an interval."""
     if every is None:
         return writer.trigger(availableNow=True)
@@ -48,7 +48,11 @@ def land(
 ) -> StreamingQuery:
     """Append the stream's rows as they are to a Parquet landing table."""
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    return _triggered(writer.format("parquet").option("path", location), every).start()
+    return triggered(writer.format("parquet").option("path", location), every).start()
+
+
+# Runs of backfills begin with this.
+_BACKFILL = "backfill-"
 
 
 class EventLog:
@@ -103,15 +107,22 @@ class EventLog:
         return marks.where(~later).select(F.col("newest").alias(ts_col))
 
     def backfill(self, batch: DataFrame, ts_col: str, start: datetime, end: datetime) -> None:
-        """From now on the rows of ``[start, end)`` are those of ``batch``, beside any stream."""
+        """From now on the rows of ``[start, end)`` are those of ``batch``, beside any stream.
+
+        What a stream stores of the range, before or after, stays hidden, also when it reads
+        its overlap again; only a later backfill takes the range over. The rows of a backfill
+        count once its cut is written, so one that fails half-way changes nothing.
+        """
         inside = (F.col(ts_col) >= at(start)) & (F.col(ts_col) < at(end))
+        run = f"{_BACKFILL}{uuid.uuid4().hex}"
         cut = self._spark.range(1).select(
             F.lit(time.time_ns()).cast("long").alias("cut_at"),
             at(start).alias("cut_from"),
             at(end).alias("cut_to"),
             F.lit(ts_col).alias("cut_column"),
+            F.lit(run).alias("cut_run"),
         )
-        self.store(batch.where(inside), 0, f"backfill-{uuid.uuid4().hex}")
+        self.store(batch.where(inside), 0, run)
         cut.write.mode("append").parquet(self._cuts)
 
     def current(self) -> DataFrame | None:
@@ -119,11 +130,14 @@ class EventLog:
         if log is None:
             return None
         cuts = self._read(self._cuts)
-        if cuts is not None:
-            # One row per backfill.
-            for row in cuts.collect():
-                inside = (F.col(row.cut_column) >= at(row.cut_from)) & (F.col(row.cut_column) < at(row.cut_to))
-                log = log.where(~F.coalesce(inside & (F.col("stored_at") < row.cut_at), F.lit(False)))
+        # One row per backfill.
+        done = [] if cuts is None else sorted(cuts.collect(), key=lambda row: row.cut_at)
+        published = [row.cut_run for row in done]
+        log = log.where(~F.col("run").startswith(_BACKFILL) | F.col("run").isin(published))
+        for place, row in enumerate(done):
+            inside = (F.col(row.cut_column) >= at(row.cut_from)) & (F.col(row.cut_column) < at(row.cut_to))
+            kept = F.col("run").isin(published[place:])
+            log = log.where(~F.coalesce(inside, F.lit(False)) | kept)
         place = F.struct("stored_at", "run", "batch_id")
         newest = (
             log.where(F.col(self.key).isNotNull()).groupBy(self.key).agg(F.max(place).alias("_newest"))
@@ -162,7 +176,7 @@ def ingest_events(
         log.store(batch, batch_id, run, ts_col)
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint or f"{log.root}/checkpoint")
-    return _triggered(writer.foreachBatch(store), every).start()
+    return triggered(writer.foreachBatch(store), every).start()
 
 
 def upsert_windows(
@@ -181,7 +195,7 @@ def upsert_windows(
     writer = aggregate.writeStream.outputMode("update").option(
         "checkpointLocation", f"{log.root}/checkpoint"
     )
-    return _triggered(writer.foreachBatch(store), every).start()
+    return triggered(writer.foreachBatch(store), every).start()
 
 
 def late_rows(query: StreamingQuery) -> int:
@@ -215,7 +229,7 @@ def refresh_latest(
         table.vacuum()
 
     writer = stream.writeStream.option("checkpointLocation", f"{table.root}/checkpoint")
-    return _triggered(writer.foreachBatch(merge), every).start()
+    return triggered(writer.foreachBatch(merge), every).start()
 
 
 def latest_state(stream: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
