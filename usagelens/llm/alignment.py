@@ -189,8 +189,14 @@ class Batch(NamedTuple):
     lengths_b: np.ndarray
 
 
-def unpacked(a: list[bytes], b: list[bytes], tables: tuple) -> Batch:
-    sizes = [np.array([len(t) for t in table], np.int64) for table in tables]
+@lru_cache(maxsize=2)
+def token_lengths(vocabularies: Vocabularies) -> tuple[np.ndarray, np.ndarray]:
+    a, b = token_tables(vocabularies)
+    return np.array([len(t) for t in a], np.int64), np.array([len(t) for t in b], np.int64)
+
+
+def unpacked(a: list[bytes], b: list[bytes], sizes: tuple[np.ndarray, np.ndarray]) -> Batch:
+    """``sizes``: bytes of every token of either side."""
     ids = [np.frombuffer(b"".join(side), "<i4").astype(np.int64) for side in (a, b)]
     texts = [np.repeat(np.arange(len(side)), [len(x) // 4 for x in side]) for side in (a, b)]
     return Batch(*ids, *texts, sizes[0][ids[0]], sizes[1][ids[1]])
@@ -215,9 +221,12 @@ def overlaps(batch: Batch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def groups(batch: Batch) -> tuple[Csr, Csr]:
     """Group incidence of the tokens of A and of B; a text's end closes a group."""
-    ends_a, ends_b = np.cumsum(batch.lengths_a), np.cumsum(batch.lengths_b)
-    cuts = np.intersect1d(ends_a, ends_b)
-    return tuple(memberships(np.searchsorted(cuts, e), len(cuts)) for e in (ends_a, ends_b))
+    ends = np.cumsum(batch.lengths_a), np.cumsum(batch.lengths_b)
+    ended = np.zeros((2, int(ends[0][-1]) + 1 if len(ends[0]) else 1), bool)
+    ended[0, ends[0]] = ended[1, ends[1]] = True
+    # A token's group is the number of cuts before its end.
+    cuts = [(ended[0, e] & ended[1, e]).astype(np.int64) for e in ends]
+    return tuple(memberships(np.cumsum(c) - c, int(c.sum())) for c in cuts)
 
 
 def group_links(batch: Batch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -262,11 +271,11 @@ def links(tokens: DataFrame, vocabularies: Vocabularies, columns: list[str]) ->
     (.., n_bytes 0) of every pair that shares a group only; tokens count from 0 in their text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = token_tables(vocabularies)
+        sizes = token_lengths(vocabularies)
         for rows in batches:
             for at in range(len(rows)):
                 one = rows.iloc[[at]]
-                batch = unpacked(one[IDS[0]].tolist(), one[IDS[1]].tolist(), tables)
+                batch = unpacked(one[IDS[0]].tolist(), one[IDS[1]].tolist(), sizes)
                 seen = set()
                 for kind in (overlaps, group_links):
                     for a, b, n in kind(batch):
@@ -298,7 +307,7 @@ def pair_counts(tokens: DataFrame, vocabularies: Vocabularies) -> DataFrame:
     pair of the same B id has more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = token_tables(vocabularies)
+        sizes = token_lengths(vocabularies)
         keys, counts, waiting = np.empty(0, np.int64), np.empty(0, np.int64), []
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -308,7 +317,7 @@ def pair_counts(tokens: DataFrame, vocabularies: Vocabularies) -> DataFrame:
             return distinct, np.bincount(place, n, len(distinct)).astype(np.int64)
 
         for rows in batches:
-            batch = unpacked(rows[IDS[0]].tolist(), rows[IDS[1]].tolist(), tables)
+            batch = unpacked(rows[IDS[0]].tolist(), rows[IDS[1]].tolist(), sizes)
             for a, b, _ in overlaps(batch):
                 waiting.append(np.unique(pair_key(batch, a, b), return_counts=True))
                 if sum(len(k) for k, _ in waiting) > HELD_PAIRS:
@@ -329,6 +338,16 @@ def pair_counts(tokens: DataFrame, vocabularies: Vocabularies) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=8)
+def spellings_up_to(power: int) -> np.ndarray:
+    return np.array([b"%d%s" % (i, s) for i in range(1 << power) for s in SEPARATORS], object)
+
+
+def spellings(ids: int) -> np.ndarray:
+    """Every id below ``ids``, or more, with each separator."""
+    return spellings_up_to(ids.bit_length())
+
+
 def group_text(batch: Batch, of_a: Csr, of_b: Csr, texts: int) -> list[bytes]:
     """For every text its groups as `a1,a2|b1;a3|b2,b3`."""
     last_a = np.diff(of_a.columns, append=-1) != 0
@@ -340,11 +359,9 @@ def group_text(batch: Batch, of_a: Csr, of_b: Csr, texts: int) -> list[bytes]:
     place_b = np.arange(len(of_b.columns)) + np.cumsum(per_a)[of_b.columns]
     order = np.empty(len(place_a) + len(place_b), np.int64)
     # One code per token: its id, and which separator follows.
-    order[place_a] = batch.ids_a * 4 + np.where(last_a, 1, 0)
-    order[place_b] = batch.ids_b * 4 + np.where(last_b, 2, 0)
-    codes, at = np.unique(order, return_inverse=True)
-    pieces = np.array([b"%d%s" % (c >> 2, SEPARATORS[c & 3]) for c in codes.tolist()], object)
-    spelt = pieces[at] if len(codes) else np.empty(0, object)
+    order[place_a] = batch.ids_a * 3 + np.where(last_a, 1, 0)
+    order[place_b] = batch.ids_b * 3 + np.where(last_b, 2, 0)
+    spelt = spellings(int(order.max(initial=0)) // 3 + 1)[order]
     ends = np.cumsum(np.bincount(batch.text_a, minlength=texts) + np.bincount(batch.text_b, minlength=texts))
     starts = np.r_[0, ends[:-1]] if texts else ends
     return [b"".join(spelt[i:j].tolist())[:-1] for i, j in zip(starts, ends, strict=True)]
@@ -353,10 +370,50 @@ def group_text(batch: Batch, of_a: Csr, of_b: Csr, texts: int) -> list[bytes]:
 SEPARATORS = (b",", b"|", b";")
 
 
-def common_pairs(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The commonest pairs, at most ``COMMON_PAIRS``, with their counts, by key."""
-    rows = counts.orderBy(F.desc("n"), "pair").limit(COMMON_PAIRS).toPandas().sort_values("pair")
-    return rows.pair.to_numpy(np.int64), rows.n.to_numpy(np.int64), rows.best.to_numpy(bool)
+class PairTable:
+    """The commonest pairs, at most ``COMMON_PAIRS``, with their counts, in a hash table.
+
+    A pair lies in the first free slot from its hash on; ``find`` looks all pairs of a block
+    up at once, slot after slot.
+    """
+
+    def __init__(self, pairs: np.ndarray, counts: np.ndarray, bests: np.ndarray) -> None:
+        self.pairs, self.counts, self.bests = pairs, counts, bests
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        waiting, step = np.arange(len(pairs), dtype=np.int32), 0
+        first = self.hashed(pairs)
+        while len(waiting):
+            at = (first[waiting] + step) & (len(self.slots) - 1)
+            free = self.slots[at] < 0
+            self.slots[at[free]] = waiting[free]
+            waiting = waiting[self.slots[at] != waiting]
+            step += 1
+        self.steps = step
+
+    def hashed(self, pairs: np.ndarray) -> np.ndarray:
+        mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, pairs: np.ndarray) -> np.ndarray:
+        """Place of every pair, -1 where it is not in the table."""
+        at = self.hashed(pairs)
+        out = np.full(len(pairs), -1, np.int64)
+        waiting = np.arange(len(pairs)) if len(self.pairs) else np.arange(0)
+        for _ in range(self.steps):
+            held = self.slots[at[waiting]]
+            right = (held >= 0) & (self.pairs[held] == pairs[waiting])
+            out[waiting[right]] = held[right]
+            waiting = waiting[~right & (held >= 0)]
+            if not len(waiting):
+                break
+            at[waiting] = (at[waiting] + 1) & (len(self.slots) - 1)
+        return out
+
+
+def common_pairs(counts: DataFrame) -> PairTable:
+    rows = counts.orderBy(F.desc("n"), "pair").limit(COMMON_PAIRS).toPandas()
+    return PairTable(rows.pair.to_numpy(np.int64), rows.n.to_numpy(np.int64), rows.best.to_numpy(bool))
 
 
 def alignments(
@@ -371,23 +428,23 @@ def alignments(
         known = spark.sparkContext.broadcast(common_pairs(counts))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            tables = token_tables(vocabularies)
-            keys, numbers, bests = known.value
+            sizes = token_lengths(vocabularies)
+            common = known.value
             for rows in batches:
                 texts = len(rows)
-                batch = unpacked(rows.pop(IDS[0]).tolist(), rows.pop(IDS[1]).tolist(), tables)
+                batch = unpacked(rows.pop(IDS[0]).tolist(), rows.pop(IDS[1]).tolist(), sizes)
                 n_links, n_best, total = (np.zeros(texts, np.int64) for _ in range(3))
                 rare: list[tuple[np.ndarray, np.ndarray]] = []
                 for a, b, _ in overlaps(batch):
                     text, key = batch.text_a[a], pair_key(batch, a, b)
-                    place = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
-                    found = keys[place] == key if len(keys) else np.zeros(len(key), bool)
+                    place = common.find(key)
                     n_links += np.bincount(text, minlength=texts)
-                    if found.any():
-                        n_best += np.bincount(text[found], bests[place[found]], texts).astype(np.int64)
-                        np.add.at(total, text[found], numbers[place[found]])
+                    found = place >= 0
                     if not found.all():
                         rare.append((text[~found], key[~found]))
+                        text, place = text[found], place[found]
+                    n_best += np.bincount(text[common.bests[place]], minlength=texts)
+                    total += per_text(text, common.counts[place], texts)
                 of_a, of_b = groups(batch)
                 both = times_vector(of_a, times_vector(transposed(of_b), np.ones(len(batch.ids_b), np.int64)))
                 left: list[list] = [[] for _ in range(texts)]
@@ -436,4 +493,11 @@ def alignments(
     )
 
 
+def per_text(text: np.ndarray, values: np.ndarray, texts: int) -> np.ndarray:
+    """Sums of ``values`` by text; ``text`` never falls."""
+    ends = np.searchsorted(text, np.arange(texts + 1))
+    total = np.r_[0, np.cumsum(values)]
+    return total[ends[1:]] - total[ends[:-1]]
+
+
 RARE, NUMBER = "pairs to be joined", "number of the row"
