@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from usagelens.plans.model_checks import EVENT_TYPES, MODEL_CHECKS
 from usagelens.session import scratch_path, use_utc
 from usagelens.sources import registry as sources
 from usagelens.sources import sample_logs as logs
-from usagelens.sources.sinks import VersionedTable, overwrite_partitions
+from usagelens.sources.sinks import VersionedTable, append_audit, overwrite_partitions, write_table
 from usagelens.streaming import ingest, keyed, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,7 +234,7 @@ def audit_deep_page(spark, sf):
 
 @query("user_list")
 def all_users(spark, sf):
-    return reports.user_list(logs.user_roles(spark, sf))
+    return reports.user_list(logs.users(spark, sf))
 
 
 # --- access ---------------------------------------------------------------------------
@@ -256,8 +256,26 @@ query("grant_statements")(lambda s, d: access.grant_statements(changes(s, d)))
 @query("audit_log_rows")
 def audit_rows(spark, sf):
     actions = access.update_actions(changes(spark, sf), "OPERATOR", "SECURITYADMIN")
-    # The key is a Spark hash and the detail is JSON text; neither is comparable elsewhere.
-    return access.audit_log_rows(actions, AS_OF).drop("action_id", "grants_detail")
+    return access.audit_log_rows(actions, AS_OF)
+
+
+@query("audit_log_rows_created")
+def audit_rows_created(spark, sf):
+    """New users, and users enabled and disabled, who leave no row."""
+    people, by = logs.users(spark, sf), ("OPERATOR", "SECURITYADMIN")
+    actions = access.create_actions(cloned(spark, sf), *by)
+    for enable in (True, False):
+        actions = actions.unionByName(access.status_actions(people, enable, *by))
+    return access.audit_log_rows(actions, AS_OF)
+
+
+@query("audit_append")
+def audit_appended(spark, sf):
+    """The log after the same change was written twice."""
+    location = scratch_path(spark, "audit")
+    for _ in range(2):
+        append_audit(audit_rows(spark, sf), location, "action_id")
+    return spark.read.parquet(location)
 
 
 @query("clone_access")
@@ -523,7 +541,7 @@ def microbatched(spark, sf):
         batch = daily.where((day >= temporal.on(start)) & (day < temporal.on(end)))
         overwrite_partitions(batch, location, "day")
 
-    incremental.run_microbatches(load, date(2024, 1, 1), date(2024, 1, 31), step_days=10)
+    incremental.run_microbatches(load, *incremental.date_range(daily, "day"), step_days=10)
     return spark.read.parquet(location)
 
 
@@ -608,6 +626,9 @@ def mapped_names(spark, sf):
 def dates(spark, sf):
     ts, later = F.col("ts"), temporal.dateadd("second", 90061, F.col("ts"))
     as_text = F.when(F.col("event_id") % 2 == 0, "2024-02-30").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    as_moment = F.when(F.col("event_id") % 3 == 0, "later").otherwise(
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    )
     return logs.table(spark, sf, "events").select(
         "event_id",
         temporal.date_part("YEAR", ts).cast("long").alias("year"),
@@ -622,6 +643,7 @@ def dates(spark, sf):
         temporal.dateadd("month", 1, ts).alias("next_month"),
         F.try_to_date(as_text, "yyyy-MM-dd").alias("maybe_date"),
         F.to_date(F.date_format("ts", "yyyy-MM-dd")).alias("parsed_date"),
+        temporal.to_timestamp(as_moment).alias("parsed_time"),
     )
 
 
@@ -718,8 +740,114 @@ def freshness(spark, sf):
     return checks.source_freshness(logs.query_history(spark, sf), "start_time", AS_OF, 24, 48)
 
 
+def _sources(spark, sf):
+    """Every source with declared limits, and what the build reads besides."""
+    return {
+        "query_history": logs.query_history(spark, sf),
+        "warehouse_metering_history": logs.warehouse_metering(spark, sf),
+        "login_history": logs.login_history(spark, sf),
+        "access_history": logs.access_history(spark, sf),
+        "automatic_clustering_history": logs.autoclustering_history(spark, sf),
+        "ext_customer_events": logs.customer_events(spark, sf),
+        "raw_users": logs.raw_users(spark, sf),
+        "raw_transactions": logs.raw_transactions(spark, sf),
+    }
+
+
+@query("source_freshness_all")
+def all_freshness(spark, sf):
+    return checks.source_freshness_all(_sources(spark, sf), sources.freshness_limits(), AS_OF)
+
+
 query("assert_no_critical_gaps")(lambda s, d: quality.critical_gaps(gaps(s, d)))
 
+# --- sources written as files and scanned by name; the build and its sinks -------------
+
+
+def _scanned(spark: SparkSession, sf: str, name: str, sample: str | None = None) -> DataFrame:
+    location = scratch_path(spark, name)
+    write_table(_sources(spark, sf)[name], location)
+    return sources.source(spark, name, location, sample, AS_OF)
+
+
+@query("source_usage_log")
+def scanned_queries(spark, sf):
+    return staging.stg_query_history(_scanned(spark, sf, "query_history"), AS_OF)
+
+
+@query("source_sample")
+def sampled_logins(spark, sf):
+    return _scanned(spark, sf, "login_history", "3 days")
+
+
+query("source_app_table")(lambda s, d: staging.stg_users(_scanned(s, d, "raw_users")))
+
+
+@query("seed_calendar")
+def seeded(spark, sf):
+    """A CSV with a header row and dates, as a seed."""
+    nation = logs.table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("long").alias("code"),
+        F.col("n_name").alias("name"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("n_nationkey").cast("int")).alias("opened"),
+    )
+    location = scratch_path(spark, "seed")
+    nation.write.option("header", True).csv(location)
+    return sources.load_seed(spark, location, nation.schema)
+
+
+@query("source_event_files")
+def refreshed_events(spark, sf):
+    """Event files pushed in two turns, read anew after each."""
+    location, raw = scratch_path(spark, "event-files"), logs.customer_events(spark, sf)
+    first = F.col("value.event_timestamp") < temporal.at(MIDDLE)
+    target = None
+    for part in (raw.where(first), raw.where(~first)):
+        part.write.mode("append").parquet(location)
+        # Kept as a table, as the load would: the next turn appends to the files read here.
+        kept = scratch_path(spark, "event-table")
+        write_table(staging.stg_customer_events(sources.read_events(spark, location), target), kept)
+        target = spark.read.parquet(kept)
+    return target
+
+
+@query("empty_run")
+def validated(spark, sf):
+    """Every mart built from sources without rows: plans and schemas hold, nothing is read."""
+    nothing = {name: sources.empty_like(df) for name, df in _sources(spark, sf).items()}
+    tables = build.build_marts(spark, nothing, scratch_path(spark, "empty-marts"), AS_OF)
+    counts = [
+        table.agg(F.count("*").alias("rows")).select(F.lit(name).alias("model"), "rows")
+        for name, table in sorted(tables.items())
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("built_mart")
+def built(spark, sf):
+    out = scratch_path(spark, "marts")
+    build.build_marts(spark, _sources(spark, sf), out, AS_OF)
+    return spark.read.parquet(f"{out}/rpt_warehouse_efficiency")
+
+
+@query("built_views")
+def viewed(spark, sf):
+    """Marts as views, asked in SQL."""
+    build.register_views(build.build_marts(spark, _sources(spark, sf), scratch_path(spark, "marts"), AS_OF))
+    return spark.sql(
+        """SELECT s.warehouse_name, s.queries, v.versions, e.events
+        FROM (SELECT warehouse_name, count(*) AS queries FROM stg_query_history GROUP BY ALL) s,
+          (SELECT count(*) AS versions FROM snp_users) v, (SELECT count(*) AS events FROM stg_customer_events) e"""
+    )
+
+
+@query("build_checks")
+def build_checked(spark, sf):
+    """The declared checks over raw, staged, intermediate and final tables of one build."""
+    tables = build.build_marts(spark, _sources(spark, sf), scratch_path(spark, "marts"), AS_OF)
+    return build.check_tables(tables, raise_on=lambda severity: False)
+
+
 # --- streams, run over what is there and read back ------------------------------------
 
 

@@ -102,7 +102,7 @@ def test_zero_rows(spark, rows):
         [("q1", as_of - timedelta(hours=1), 5), ("q2", as_of - timedelta(hours=1), 0), ("q3", as_of - timedelta(hours=5), 9)],
         "query_id string, start_time timestamp_ntz, rows_inserted long",
     )
-    writes = spark.createDataFrame([("q1", "A"), ("q2", "B"), ("q3", "C")], "query_id string, full_table_name string")
+    writes = spark.createDataFrame([(q, as_of - timedelta(hours=h), t) for q, h, t in (("q1", 1, "A"), ("q2", 1, "B"), ("q3", 5, "C"))], "query_id string, query_start_time timestamp_ntz, full_table_name string")
     assert rows(alerts.alert_zero_rows(qh, writes, as_of)) == [("B",), ("C",)]
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, SAMPLE
 from usagelens.operators.incremental import snapshot_check
 from usagelens.plans import build
+from usagelens.plans.model_checks import MODEL_CHECKS
 from usagelens.session import scratch_path
 from usagelens.sources import sample_logs as logs
 from usagelens.sources.sinks import overwrite_partitions, replace_keys
@@ -27,6 +28,7 @@ def inputs(spark):
         "automatic_clustering_history": logs.autoclustering_history(spark, SAMPLE),
         "raw_users": logs.raw_users(spark, SAMPLE),
         "raw_transactions": logs.raw_transactions(spark, SAMPLE),
+        "ext_customer_events": logs.customer_events(spark, SAMPLE),
     }
 
 
@@ -41,6 +43,12 @@ def test_build_equals_lazy_models(spark):
     for name in MARTS:
         lazy = QUERIES[name](spark, SAMPLE)
         assert as_text(tables[name].select(*lazy.columns)) == as_text(lazy), name
+    assert tables["stg_customer_events"].count() == inputs(spark)["ext_customer_events"].count()
+    assert tables["snp_users"].where("valid_to IS NULL").count() == tables["raw_users"].count()
+    found = build.check_tables(tables, raise_on=lambda severity: False)
+    models = {r.model for r in found.select("model").distinct().collect()}
+    assert models == set(MODEL_CHECKS) & set(tables) and len(models) >= 20
+    assert models >= {"raw_users", "stg_users", "query_behavior", "data_skew", "user_transactions", "rpt_cohort_retention"}
     build.register_views(tables)
     worst = spark.sql("SELECT max(execution_time_ms) FROM fct_query_spilling").first()[0]
     assert worst == tables["fct_query_spilling"].agg({"execution_time_ms": "max"}).first()[0]

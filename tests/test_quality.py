@@ -1,9 +1,10 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
 from usagelens.operators import checks
-from usagelens.plans import quality, reports
+from usagelens.plans import alerts, quality, reports
+from usagelens.sources import registry
 
 AS_OF = datetime(2024, 1, 31, 1, 30)
 
@@ -15,8 +16,8 @@ def inputs(spark, *loads):
         "query_id string, start_time timestamp_ntz, rows_inserted long",
     )
     writes = spark.createDataFrame(
-        [(f"q{i}", table) for i, (_, tables, _) in enumerate(loads) for table in tables],
-        "query_id string, full_table_name string",
+        [(f"q{i}", start, table) for i, (start, tables, _) in enumerate(loads) for table in tables],
+        "query_id string, query_start_time timestamp_ntz, full_table_name string",
     )
     return qh, writes
 
@@ -130,11 +131,38 @@ def test_source_freshness(spark):
     assert checks.source_freshness(empty, "ts", AS_OF, 24, 48).first().status == "error"
 
 
-def test_trusted_write_times_give_the_same_gaps(spark):
+def test_writes_bounded_by_the_spine_give_the_same_gaps(spark):
     from conftest import SAMPLE
     from registry.spark_queries import qh, writes
 
     arguments = qh(spark, SAMPLE), writes(spark, SAMPLE), AS_OF
-    plain = quality.freshness_gaps(*arguments).collect()
-    trusted = quality.freshness_gaps(*arguments, trust_write_times=True).collect()
-    assert sorted(map(repr, plain)) == sorted(map(repr, trusted))
+    bounded = quality.freshness_gaps(*arguments)
+    whole = quality.freshness_gaps(*arguments, write_slack=None)
+    assert sorted(map(repr, bounded.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_freshness_reads_the_writes_of_the_spine_only(spark):
+    from conftest import SAMPLE
+    from registry.spark_queries import qh
+    from usagelens.plans import staging
+    from usagelens.session import scratch_path
+    from usagelens.sources import sample_logs as logs
+
+    path = scratch_path(spark, "access")
+    logs.access_history(spark, SAMPLE).write.parquet(path)
+    writes = staging.stg_access_history_writes(spark.read.parquet(path), AS_OF)
+    for plan in (quality.freshness_gaps(qh(spark, SAMPLE), writes, AS_OF), alerts.alert_zero_rows(qh(spark, SAMPLE), writes, AS_OF)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        pushed = [line for line in text.splitlines() if "PushedFilters" in line and "query_start_time" in line]
+        assert any("query_start_time,2024-01-30T" in line for line in pushed), text
+
+
+def test_freshness_of_every_source(spark):
+    limits = registry.freshness_limits()
+    assert limits["ext_customer_events"] == ("value.event_timestamp", 2, 6) and len(limits) == 6
+    tables = {
+        "a": spark.createDataFrame([(AS_OF - timedelta(hours=3),)], "ts timestamp_ntz"),
+        "b": spark.createDataFrame([], "ts timestamp_ntz"),
+    }
+    found = checks.source_freshness_all(tables, {"a": ("ts", 2, 6), "b": ("ts", 2, 6)}, AS_OF)
+    assert [(r.source, r.age_hours, r.status) for r in found.orderBy("source").collect()] == [("a", 3.0, "warn"), ("b", None, "error")]

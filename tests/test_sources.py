@@ -59,6 +59,10 @@ def test_sinks(spark):
     append_audit(with_audit(logins(spark), datetime(2024, 2, 1)), path)
     append_audit(with_audit(logins(spark), datetime(2024, 2, 2)), path)
     assert spark.read.parquet(path).select("updated_at").distinct().count() == 2
+    keyed = scratch_path(spark, "audit")
+    for rows in (logins(spark).limit(2), logins(spark)):
+        append_audit(rows, keyed, "user_name")
+    assert spark.read.parquet(keyed).count() == 3
 
 
 def test_shared_dir_follows_the_session(spark):

@@ -84,3 +84,8 @@ def date_part(part: str, ts: Column) -> Column:
 def timestamp_text(ts: Column) -> Column:
     """Fixed text form, so hashes over it do not depend on session formats."""
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSS")
+
+
+def to_timestamp(text: Column, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Zone-less timestamp of a text; NULL if it does not follow the pattern."""
+    return F.try_to_timestamp(text, F.lit(pattern)).cast("timestamp_ntz")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -48,6 +48,21 @@ def source_freshness(
     )
 
 
+def source_freshness_all(
+    tables: Mapping[str, DataFrame], limits: Mapping[str, tuple[str, float, float]], as_of: datetime
+) -> DataFrame:
+    """One row per source with declared limits: (source, newest load, age, state).
+
+    ``limits`` holds the load-time column and the hours to warn and to fail at.
+    """
+    rows = None
+    for name, (loaded_at, warn_hours, error_hours) in limits.items():
+        found = source_freshness(tables[name], loaded_at, as_of, warn_hours, error_hours)
+        found = found.select(F.lit(name).alias("source"), "*")
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
+
+
 @dataclass(frozen=True)
 class Check:
     """A declared check on a model's output."""

@@ -171,6 +171,12 @@ def active_count(silver: DataFrame, group: str, key: str, alias: str = "active_u
     return silver.groupBy(group).agg(F.count_distinct(key).alias(alias))
 
 
+def date_range(df: DataFrame, day: str) -> tuple[date, date] | None:
+    """First day of ``df`` and the day after its last; None without any."""
+    row = df.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
+    return None if row["first"] is None else (row["first"], row["last"] + timedelta(days=1))
+
+
 def run_microbatches(
     load: Callable[[date, date], None], start: date, end: date, step_days: int = 1
 ) -> int:

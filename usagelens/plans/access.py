@@ -327,8 +327,11 @@ def audit_log_rows(actions: DataFrame, as_of: datetime) -> DataFrame:
         "action_type", "user_name", "performed_by", "role_used", "env", "domain",
         F.col("entry.role"), F.col("entry.object_type"), "comment",
     ]
+    # Fifteen hexadecimal digits fit a long, and any engine can compute them.
+    text = F.concat_ws("|", *natural_key, F.lit(str(as_of)))
+    action_id = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
     return rows.select(
-        F.xxhash64(*natural_key, F.lit(str(as_of))).alias("action_id"),
+        action_id.alias("action_id"),
         "action_type",
         "user_name",
         "performed_by",

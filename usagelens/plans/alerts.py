@@ -20,12 +20,24 @@ def alert_credit_quota(metering: DataFrame, quota: float | Decimal) -> DataFrame
     return daily.where(F.col("credits") > F.lit(quota))
 
 
-def alert_zero_rows(qh: DataFrame, writes: DataFrame, as_of: datetime, hours: int = 4) -> DataFrame:
-    """Tables written in the window of ``writes`` that gained no row in the last hours."""
+def alert_zero_rows(
+    qh: DataFrame,
+    writes: DataFrame,
+    as_of: datetime,
+    hours: int = 4,
+    write_slack: timedelta = timedelta(hours=1),
+) -> DataFrame:
+    """Tables written in the window of ``writes`` that gained no row in the last hours.
+
+    A write carries the start of its query, so only writes of those hours, and ``write_slack``
+    before them, are joined.
+    """
+    since = as_of - timedelta(hours=hours)
+    recent = writes.where(F.col("query_start_time") >= at(since - write_slack))
     loads = (
-        qh.where((F.col("start_time") >= at(as_of - timedelta(hours=hours))) & (F.col("rows_inserted") > 0))
+        qh.where((F.col("start_time") >= at(since)) & (F.col("rows_inserted") > 0))
         .select("query_id")
-        .join(writes.select("query_id", "full_table_name"), "query_id")
+        .join(recent.select("query_id", "full_table_name"), "query_id")
         .select("full_table_name")
         .distinct()
     )

@@ -22,6 +22,10 @@ from usagelens.sources.sinks import (
 )
 
 
+# Columns whose change opens a new version of a user.
+SNAPSHOT_COLUMNS = ("country", "plan", "status")
+
+
 class CheckFailure(ValueError):
     """A check of severity ``error`` found failing rows."""
 
@@ -112,8 +116,10 @@ def build_marts(
     """Build every mart from the source tables and write it under ``out``.
 
     ``inputs`` holds the registered sources by name. Work and billing use the same window.
+    Besides the written tables the result holds the raw and intermediate ones that have
+    declared checks.
     """
-    tables: dict[str, DataFrame] = {}
+    tables: dict[str, DataFrame] = {name: inputs[name] for name in ("raw_users", "raw_transactions")}
 
     def written(name: str, df: DataFrame) -> DataFrame:
         write_table(df, f"{out}/{name}")
@@ -135,13 +141,20 @@ def build_marts(
     )
     users = written("stg_users", staging.stg_users(inputs["raw_users"]))
     tx = written("stg_transactions", staging.stg_transactions(inputs["raw_transactions"]))
-
-    written(
-        "rpt_warehouse_efficiency",
-        cost.rpt_warehouse_efficiency(cost.warehouse_efficiency_summary(metering, recent, cfg)),
+    tables["stg_autoclustering_history"] = acl
+    tables["stg_customer_events"] = load_customer_events(
+        spark, inputs["ext_customer_events"], f"{out}/stg_customer_events", cfg
     )
-    written("rpt_warehouse_behavior", cost.rpt_warehouse_behavior(cost.query_behavior(qh)))
-    written("fct_data_skew", performance.fct_data_skew(performance.data_skew(qh), as_of))
+    tables["snp_users"] = load_snapshot(
+        spark, inputs["raw_users"], f"{out}/snp_users", "user_id", SNAPSHOT_COLUMNS, as_of
+    )
+
+    tables["warehouse_efficiency_summary"] = cost.warehouse_efficiency_summary(metering, recent, cfg)
+    written("rpt_warehouse_efficiency", cost.rpt_warehouse_efficiency(tables["warehouse_efficiency_summary"]))
+    tables["query_behavior"] = cost.query_behavior(qh)
+    written("rpt_warehouse_behavior", cost.rpt_warehouse_behavior(tables["query_behavior"]))
+    tables["data_skew"] = performance.data_skew(qh)
+    written("fct_data_skew", performance.fct_data_skew(tables["data_skew"], as_of))
     spilling = performance.spilling_performance(qh, as_of, cfg.window_days)
     written("fct_query_spilling", performance.fct_query_spilling(spilling))
     written("rpt_spilling_summary", performance.rpt_spilling_summary(spilling))
@@ -152,6 +165,7 @@ def build_marts(
     gaps = written("freshness_gaps", quality.freshness_gaps(qh, writes, as_of))
     errors = written("automation_errors", quality.automation_errors(qh, as_of, cfg.window_days))
     written("fct_quality_monitoring", quality.fct_quality_monitoring(gaps, errors, as_of))
+    tables["user_transactions"] = retention.user_transactions(users, tx)
     written("rpt_cohort_retention", retention.cohort_retention(users, tx))
     return tables
 

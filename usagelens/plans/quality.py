@@ -60,19 +60,19 @@ def freshness_gaps(
     hours: int = 24,
     lag_min: int = 180,
     mode: str = "reference",
-    trust_write_times: bool = False,
+    write_slack: timedelta | None = timedelta(hours=1),
 ) -> DataFrame:
     """Status per hour of the last day and table written in it; an hour without any
     write keeps one row with a NULL table.
 
-    ``mode="strict"`` reports an hour whose queries loaded nothing as SILENT_FAILURE. With
-    ``trust_write_times``, a write's recorded start is taken to be its query's start, so
-    only the writes of the spine are read instead of the whole window.
+    ``mode="strict"`` reports an hour whose queries loaded nothing as SILENT_FAILURE. A write
+    carries the start of its query, so only writes of the spine are read, with ``write_slack``
+    before it; ``None`` reads the whole window of writes.
     """
     spine = hour_spine(qh.sparkSession, as_of, hours)
     start = as_of.replace(minute=0, second=0, microsecond=0) - timedelta(hours=hours)
-    if trust_write_times:
-        writes = writes.where(F.col("query_start_time") >= at(start))
+    if write_slack is not None:
+        writes = writes.where(F.col("query_start_time") >= at(start - write_slack))
     actual = hourly_writes(qh, writes, start)
     joined = spine.join(actual, F.col("check_hour") == F.col("event_hour"), "left").select(
         "check_hour",

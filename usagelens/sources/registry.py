@@ -42,6 +42,16 @@ SOURCES = {
     )
 }
 
+
+def freshness_limits() -> dict[str, tuple[str, float, float]]:
+    """Load-time column and limits in hours of the sources that declare them."""
+    return {
+        spec.name: (spec.loaded_at, spec.warn_hours, spec.error_hours)
+        for spec in SOURCES.values()
+        if spec.loaded_at is not None and spec.error_hours is not None
+    }
+
+
 _WIDENING = {
     ("int", "bigint"),
     ("smallint", "bigint"),

@@ -38,8 +38,17 @@ def append(df: DataFrame, location: str) -> None:
         writer.saveAsTable(location)
 
 
-def append_audit(rows: DataFrame, location: str) -> None:
-    """All audit rows of a change in one batch write."""
+def append_audit(rows: DataFrame, location: str, key: str | None = None) -> None:
+    """All audit rows of a change in one batch write.
+
+    With ``key``, rows whose key the log holds already are not written again, so a run that is
+    repeated adds nothing.
+    """
+    spark = rows.sparkSession
+    if key is not None and "/" in location:
+        known = table_or_none(spark, location, rows.schema)
+        if known is not None:
+            rows = rows.join(known.select(key), key, "left_anti").select(*rows.columns)
     append(rows, location)
 
 
