@@ -116,3 +116,8 @@ def test_snapshot_table_equals_pure_history(spark, rows):
         stored = build.load_snapshot(spark, current, location, *arguments)
         stored = build.load_snapshot(spark, current, location, *arguments)   # again: no change
         assert rows(stored, *history.columns) == rows(history)
+    # Every run wrote what it opened and closed, and nothing again.
+    versions = spark.read.parquet(f"{location}/versions")
+    assert versions.count() == history.count() == versions.select("scd_id").distinct().count()
+    assert versions.where("opened_in = 'run 20240103T000000'").isEmpty()
+    assert spark.read.parquet(f"{location}/closings").count() == history.where("valid_to IS NOT NULL").count()

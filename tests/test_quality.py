@@ -151,10 +151,12 @@ def test_freshness_reads_the_writes_of_the_spine_only(spark):
     path = scratch_path(spark, "access")
     logs.access_history(spark, SAMPLE).write.parquet(path)
     writes = staging.stg_access_history_writes(spark.read.parquet(path), AS_OF)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     for plan in (quality.freshness_gaps(qh(spark, SAMPLE), writes, AS_OF), alerts.alert_zero_rows(qh(spark, SAMPLE), writes, AS_OF)):
         text = plan._jdf.queryExecution().executedPlan().toString()
         pushed = [line for line in text.splitlines() if "PushedFilters" in line and "query_start_time" in line]
         assert any("query_start_time,2024-01-30T" in line for line in pushed), text
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_freshness_of_every_source(spark):

@@ -378,17 +378,17 @@ def created_user_count(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_distinct("user").alias("users"))
 
 
-def role_closure(role_edges: DataFrame) -> DataFrame:
-    """All pairs (role, inherited role), direct or not. Cycles are fine.
+def role_closure(role_edges: DataFrame, held: DataFrame) -> DataFrame:
+    """Pairs (role, inherited role), direct or not, of the roles in ``held``. Cycles are fine.
 
-    Each round extends the pairs found last by one edge and keeps the unseen ones; the
-    rounds end when nothing is new. A checkpoint per round keeps plans short and survives
-    lost executors.
+    A frontier search: each round extends the pairs found last by one edge and keeps the unseen
+    ones. It starts from the held roles, so roles nobody holds cost nothing. A checkpoint per
+    round keeps plans short and survives lost executors.
     """
     ensure_checkpoint_dir(role_edges.sparkSession)
     edges = role_edges.select("role", "inherits").distinct().checkpoint()
     steps = edges.select(F.col("role").alias("inherits"), F.col("inherits").alias("next"))
-    seen = fresh = edges
+    seen = fresh = edges.join(held.select("role").distinct(), "role", "left_semi").checkpoint()
     while not fresh.isEmpty():
         reached = fresh.join(steps, "inherits").select("role", F.col("next").alias("inherits"))
         fresh = reached.distinct().join(seen, ["role", "inherits"], "left_anti").checkpoint()
@@ -397,9 +397,9 @@ def role_closure(role_edges: DataFrame) -> DataFrame:
 
 
 def effective_roles(user_roles: DataFrame, role_edges: DataFrame) -> DataFrame:
-    """Every role a user holds directly or through inheritance."""
+    """Every role a user holds directly or through inheritance. Users come in last."""
     direct = user_roles.select("user", "role").distinct()
-    closure = broadcast_if_small(role_closure(role_edges))
+    closure = broadcast_if_small(role_closure(role_edges, direct))
     inherited = direct.join(closure, "role").select("user", F.col("inherits").alias("role"))
     return direct.unionByName(inherited).distinct()
 

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.functions.temporal import at
 from usagelens.operators.checks import run_checks
@@ -84,26 +85,47 @@ def load_snapshot(
     check_cols: Sequence[str],
     as_of: datetime,
 ) -> DataFrame:
-    """Slowly changing history kept as partitions: the open versions, and the versions each
-    run closed.
+    """Slowly changing history as two tables that only grow: versions as they were opened, and
+    when versions were closed.
 
-    A run reads and rewrites the open versions only, however long the history is. Closed
-    versions are written first, to a partition of their own run, so a run that dies can be
-    repeated without losing or doubling any.
+    A run adds rows for the keys it opens or closes a version of, in partitions of its own,
+    and rewrites nothing. It does not look at what it wrote itself, so a run that died can be
+    repeated with the same input.
     """
-    versions = f"{location}/versions"
-    is_open = F.col("closed_in") == "open"
-    closed_in = F.when(F.col("valid_to").isNull(), "open").otherwise(f"run {as_of:%Y%m%dT%H%M%S}")
-    schema = snapshot_check(None, current, key, check_cols, as_of).withColumn("closed_in", closed_in).schema
-    known = table_or_none(spark, versions, schema)
-    history = None if known is None else known.where(is_open).drop("closed_in")
-    moved = snapshot_check(history, current, key, check_cols, as_of).withColumn("closed_in", closed_in)
+    versions, closings = f"{location}/versions", f"{location}/closings"
+    run, stamp = f"run {as_of:%Y%m%dT%H%M%S}", at(as_of)
+    schema = snapshot_check(None, current, key, check_cols, as_of).drop("valid_to").schema
+    opened = T.StructType([*schema.fields, T.StructField("opened_in", T.StringType())])
+    closed = T.StructType.fromDDL("scd_id string, valid_to timestamp_ntz, closed_in string")
+
+    def history(but: str | None) -> DataFrame | None:
+        known = table_or_none(spark, versions, opened)
+        if known is None:
+            return None
+        ends = table_or_none(spark, closings, closed)
+        if but is not None:
+            known = known.where(F.col("opened_in") != but)
+            ends = ends.where(F.col("closed_in") != but) if ends is not None else None
+        if ends is None:
+            ends = spark.createDataFrame([], closed)
+        return known.drop("opened_in").join(ends.select("scd_id", "valid_to"), "scd_id", "left").select(
+            *schema.fieldNames(), "valid_to"
+        )
+
+    before = history(run)
+    if before is not None:
+        before = before.where(F.col("valid_to").isNull())
+    after = snapshot_check(before, current, key, check_cols, as_of)
+    touched = after.where((F.col("valid_from") == stamp) | (F.col("valid_to") == stamp))
     staged = scratch_path(spark, "snapshot")
-    overwrite_partitions(moved, staged, "closed_in")
-    fresh = spark.read.schema(moved.schema).parquet(staged)
-    overwrite_partitions(fresh.where(~is_open), versions, "closed_in")
-    overwrite_partitions(fresh.where(is_open), versions, "closed_in")
-    return spark.read.schema(schema).parquet(versions).drop("closed_in")
+    write_table(touched, staged)
+    touched = spark.read.schema(after.schema).parquet(staged)
+    new = touched.where(F.col("valid_to").isNull()).drop("valid_to")
+    overwrite_partitions(new.withColumn("opened_in", F.lit(run)), versions, "opened_in")
+    ended = touched.where(F.col("valid_to").isNotNull()).select("scd_id", "valid_to")
+    overwrite_partitions(ended.withColumn("closed_in", F.lit(run)), closings, "closed_in")
+    done = history(None)
+    return spark.createDataFrame([], after.schema) if done is None else done
 
 
 def build_marts(
