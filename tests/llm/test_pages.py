@@ -1,3 +1,6 @@
+import time
+
+import pytest
 from pyspark.sql import Row
 
 from usagelens.llm import pages
@@ -38,6 +41,53 @@ def test_large_boilerplate_is_no_wrapper():
         assert pages.main_text(page, weights).split() == ["Title", *other.split()]
 
 
+LONG = " ".join(f"word{k}" for k in range(30))
+FIRST = dict(pages.FIRST_WEIGHTS)
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<p title="a < b > c">{LONG}</p>', LONG),
+        (f"<p title='a < b > c'>{LONG}<img alt=\"x < y\"> end</p>", f"{LONG} end"),
+        (f'<p title="never closed>{LONG}</p>', LONG),
+        (f'<div data-id="related"><p>{LONG} <a href="/p?id=ad">linked words</a> {LONG}</p></div>', f"{LONG} linked words {LONG}"),
+        (f'<article><h1><a href="/">A linked title</a></h1><p>{LONG}</p></article>', f"A linked title\n\n{LONG}"),
+        (f'<div><h1><a href="/">A linked title</a></h1><p>{LONG}</p></div>', f"A linked title\n\n{LONG}"),
+        (
+            "<main><p>" + LONG + "</p><ul>" + "<li><a>some link text here</a></li>" * 12 + f"</ul><p>{LONG}</p><nav>out</nav></main>",
+            "\n\n".join([LONG, *["some link text here"] * 12, LONG]),
+        ),
+        (f'<h2 class="share-price">Prices</h2><p id="search">{LONG}</p>', f"Prices\n\n{LONG}"),
+        (f'<p>{LONG}</p><p style="color:red; display: none">unseen</p><div hidden>unseen</div><p aria-hidden="true">x</p>', LONG),
+        (f'<p>{LONG}</p><div class="discussion"><p>{LONG}</p></div>', LONG),
+        (f'<p>{LONG}</p><ul><li class="ad">buy</li><li class="ad-hoc">{LONG}</li></ul>', f"{LONG}\n\n{LONG}"),
+    ],
+)
+def test_markup_that_misled(page, text):
+    assert pages.main_text(f"<body>{page}</body>", FIRST) == text
+
+
+def test_hints_are_learnt_from_labelled_pages():
+    def page(k, box):
+        return f'<body><div class="{box}"><p>{LONG}</p></div><article><div class="lead"><p>{LONG} {k}</p></div></article></body>'
+
+    weights = pages.learn([page(k, "zebra") for k in range(6)] + [page(k, f"own{chr(97 + k)}") for k in range(4)])
+    assert "hint zebra" in weights and not {"hint lead", "hint own", "hint owna"} & set(weights)
+    unmarked = f'<body><div class="zebra"><p>{LONG} x</p></div><div class="lead"><p>{LONG}</p></div></body>'
+    assert pages.main_text(unmarked, weights) == LONG
+
+
+@pytest.mark.parametrize(
+    "unit", ['<div class="ad">x', "<b>", "<p><b>", "<li><i>x", "</div>x", '<a "', "<td><ul>", "<article>x", '<p title="', "<h1><a>x"]
+)
+def test_a_large_hostile_page_takes_little_time(unit):
+    page = unit * (1_000_000 // len(unit))
+    start = time.perf_counter()
+    pages.main_text(page, FIRST)
+    assert time.perf_counter() - start < 20
+
+
 def test_region_equals_brute_force():
     tokens, _ = pages.parse(PAGE)
     weights = dict(pages.FIRST_WEIGHTS)
@@ -50,7 +100,7 @@ def test_region_equals_brute_force():
 def test_marked_articles_are_recovered(spark):
     raw = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     weights = pages.fit(raw)
-    assert all(v > 0 if k == "word" else v < 0 for k, v in weights.items())
+    assert all(v > 0 if k == "word" or k.startswith("hint") else v < 0 for k, v in weights.items())
     wrong = 0
     for row in pages.extract(raw, weights).collect():
         tokens, mark = pages.parse(row["html"])
