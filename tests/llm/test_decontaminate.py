@@ -1,4 +1,5 @@
 import re
+import time
 
 from usagelens.llm import decontaminate
 from .texts import prose
@@ -72,3 +73,17 @@ def test_index_keeps_benchmark_terms_only(hostile, benchmark_table):
     index = decontaminate.build_index(hostile, bench)
     assert index.filter("term_id IS NULL").count() == hostile.count()
     assert index.select("term_id").filter("term_id IS NOT NULL").distinct().count() <= bench.vocabulary.count()
+
+
+def test_a_long_text_of_one_word_or_passage_costs_its_length(spark):
+    passage = " ".join(f"w{k % 4}" for k in range(16))
+    docs = spark.createDataFrame(
+        [(1, "same " * 100_000), (2, (passage + " ") * 3_000), (3, "other words")], "doc_id long, text string"
+    )
+    bench = spark.createDataFrame([(7, "same " * 12), (8, passage)], "item_id long, text string")
+    start = time.perf_counter()
+    rows = decontaminate.contamination(docs, bench).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["n_hit"], r["items"]) for r in rows] == [
+        (100_000, 100_000, ["7"]), (48_000, 48_000, ["8"]), (2, 0, [])
+    ]
+    assert time.perf_counter() - start < 120

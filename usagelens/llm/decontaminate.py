@@ -150,12 +150,15 @@ def phrase_matches(index: DataFrame, bench: Benchmark, rarest: int = RAREST) ->
     )
     rows = checked(stored(meetings.select("row").distinct(), "meeting-rows"), 16)
     near = index.filter("term_id IS NOT NULL").join(rows, "row", "left_semi")
-    there = (
-        near.join(meetings, "row")
-        .withColumn("p", (F.col("pos") - F.col("diagonal")).cast("int"))
-        .join(checked(bench.terms, 40), ["item", "p", "term_id"])
-        .select("row", "item", "diagonal", "p")
+    # What must stand where if the item lies on the diagonal: a text that repeats a passage has
+    # as many diagonals as repeats, and each asks for the item's words only.
+    expected = stored(
+        meetings.join(checked(bench.terms, 40), "item").select(
+            "row", "item", "diagonal", "p", "term_id", (F.col("diagonal") + F.col("p")).alias("pos")
+        ),
+        "bench-expected",
     )
+    there = near.join(checked(expected, 48), ["row", "pos", "term_id"]).select("row", "item", "diagonal", "p")
     covered = bench.windows.select(
         "item", "s", "n", F.explode(F.sequence(F.col("s"), F.col("s") + F.col("n") - 1)).alias("p")
     )
