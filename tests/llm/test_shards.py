@@ -53,6 +53,31 @@ def test_same_input_gives_the_same_files(spark, hostile, tmp_path):
     assert not [p for p in (tmp_path / "x").iterdir() if p.name.startswith(".shard") and "crc" not in p.name]
 
 
+def test_order_does_not_depend_on_how_files_are_cut(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(k, f"document {k} " * (k % 40)) for k in range(4000)], "doc_id long, text string"
+    )
+    path = str(tmp_path / "docs")
+    docs.repartition(3, "doc_id").write.option("parquet.block.size", "16384").parquet(path)
+    name, found = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    for size in ("64m", "20k"):
+        spark.conf.set(name, size)
+        read = spark.read.parquet(path)
+        rows = written(spark, read, tmp_path / size, sequence=64, per_shard=16)
+        found.append((read.rdd.getNumPartitions(), sorted((r["slot"], r["crc32"], r["doc_ids"]) for r in rows)))
+    spark.conf.set(name, before)
+    assert found[0][0] < found[1][0] and found[0][1] == found[1][1]
+
+
+def test_ids_of_text_and_ranges_of_shards(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(f"id-{k}", "some words " * 20) for k in range(60)] + [(None, "x")], "doc_id string, text string")
+    monkeypatch.setattr(shards, "TASK_SHARDS", 3)
+    rows = written(spark, docs, tmp_path, sequence=32, per_shard=4)
+    assert {i for r in rows for i in r["doc_ids"]} == {f"id-{k}" for k in range(60)}
+    assert len({r["shard"] for r in rows}) > 12 and len(list(shards.read_sequences(str(tmp_path)))) == len(rows)
+
+
 def test_empty_table(spark, nothing, tmp_path):
     assert written(spark, nothing, tmp_path) == []
     assert list(shards.read_sequences(str(tmp_path))) == []

@@ -1,13 +1,14 @@
 """Token shards in training order.
 
-Documents are tokenised and laid end to end, each followed by the end mark; the stream is
+Documents are tokenised and laid end to end in the order of files and of the rows in them,
+each followed by the end mark; the stream is
 cut into sequences of a fixed length, the last one filled up with end marks. A keyed Feistel
 permutation with cycle-walking gives every sequence a global slot, and range partitions of
 the slots write shards of a fixed stride: slot s lies in shard ``s // per_shard`` at byte
 ``(s % per_shard) * stride``. A reader can stop at a slot and go on from it.
 
 Texts are tokenised once; the tokens are stored, the number of sequences follows from one
-sum per task, and only the cut sequences are shuffled, once, compressed. A shard is written to a
+sum per stretch of rows read together, and only the cut sequences are shuffled, once, compressed. A shard is written to a
 name of its own attempt and then moved, so a repeated task leaves the same file.
 
 Defined cases: a null or empty text gives its end mark alone; rows that repeat a doc_id, or
@@ -27,12 +28,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm import compression
-from usagelens.llm.common import checked, small_batches
+from usagelens.llm.common import ROW, checked, small_batches, with_rows
 from usagelens.session import scratch_path
 
 # Split pattern of the byte-level vocabulary: a fixed value.
@@ -44,6 +44,8 @@ SEQUENCE, PER_SHARD = 2048, 4096
 KEY, ROUNDS = 20240131, 6
 # Starts of so many documents train the dictionary that packs the pieces for the shuffle.
 SAMPLES, SAMPLE_BYTES, DICTIONARY_BYTES = 600, 8192, 112640
+# Shards a task writes at most, one after the other.
+TASK_SHARDS = 64
 PIECE = ["shard", "slot", "number", "at", "doc_ids", "piece"]
 MANIFEST = ["slot", "shard", "byte_offset", "sequence", "n_tokens", "doc_ids", "crc32"]
 
@@ -84,37 +86,46 @@ def permuted(index: np.ndarray, size: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def id_kind(documents: DataFrame) -> str:
+    """Type of the ids in manifests: whole numbers stay whole numbers, all else is text."""
+    whole = documents.schema["doc_id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    return "long" if whole else "string"
+
+
 def tokenised(documents: DataFrame, vocabulary: bytes, end: int = END) -> DataFrame:
-    """Stored (part, start, n, doc_id, tokens): the stream as little-endian 16-bit ids.
+    """Stored (file, first, start, n, doc_id, tokens): the stream as little-endian 16-bit ids.
 
-    ``part`` is the task that read the document and ``start`` its place among that task's
-    tokens.
+    Documents are read in stretches, rows of one file that follow each other; ``file`` and
+    ``first`` (the stretch's first row in it) name one, and ``start`` is the document's place
+    among its tokens.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, part, start = encoding(vocabulary).encode_ordinary, TaskContext.get().partitionId(), 0
+        encode = encoding(vocabulary).encode_ordinary
+        file = first = before = None
+        start = 0
         for batch in batches:
             # Small steps bound the memory of a batch of long texts.
             for at in range(0, len(batch), 256):
                 rows = batch.iloc[at : at + 256]
-                tokens = [
-                    np.array([*(encode(text) if text else ()), end], "<u2") for text in rows.text
-                ]
-                n = np.array([len(t) for t in tokens])
-                yield pd.DataFrame(
-                    {
-                        "part": np.int32(part),
-                        "start": start + np.cumsum(n) - n,
-                        "n": n,
-                        "doc_id": rows.doc_id.to_numpy(),
-                        "tokens": [t.tobytes() for t in tokens],
-                    }
-                )
-                start += int(n.sum())
-
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                tokens, places = [], []
+                for text, where, row in zip(rows.text, rows[ROW[0]], rows[ROW[1]], strict=True):
+                    tokens.append(np.array([*(encode(text) if text else ()), end], "<u2"))
+                    if where != file or row != before + 1:
+                        file, first, start = where, row, 0
+                    places.append((file, first, start))
+                    start, before = start + len(tokens[-1]), row
+                out = pd.DataFrame(places, columns=["file", "first", "start"])
+                out["n"] = [len(t) for t in tokens]
+                out["doc_id"] = rows.doc_id.to_numpy()
+                out["tokens"] = [t.tobytes() for t in tokens]
+                yield out
+
+    source = with_rows(documents, "shard-rows").select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", *ROW
+    )
     stream = source.mapInPandas(
-        run, "part int, start long, n long, doc_id long, tokens binary"
+        run, "file long, first long, start long, n long, doc_id string, tokens binary"
     )
     spark = documents.sparkSession
     path = scratch_path(spark, "tokens")
@@ -124,16 +135,18 @@ def tokenised(documents: DataFrame, vocabulary: bytes, end: int = END) -> DataFr
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def task_starts(tokens: DataFrame) -> tuple[DataFrame, int]:
-    """(part, base) and the number of tokens. One sum per task that read documents."""
+def stretch_starts(tokens: DataFrame) -> tuple[DataFrame, int]:
+    """(file, first, base) and the number of tokens, in the order of files and rows, however
+    the files were cut for reading. One sum per stretch."""
     sums = sorted(
-        (row["part"], row["n"]) for row in tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()
+        (row["file"], row["first"], row["n"])
+        for row in tokens.groupBy("file", "first").agg(F.sum("n").alias("n")).collect()
     )
     total, bases = 0, []
-    for part, n in sums:
-        bases.append((part, total))
+    for file, first, n in sums:
+        bases.append((file, first, total))
         total += n
-    return tokens.sparkSession.createDataFrame(bases, "part int, base long"), total
+    return tokens.sparkSession.createDataFrame(bases, "file long, first long, base long"), total
 
 
 def write_shards(
@@ -153,9 +166,15 @@ def write_shards(
     """
     spark = documents.sparkSession
     tokens = tokenised(documents, vocabulary, end)
-    bases, total = task_starts(tokens)
+    bases, total = stretch_starts(tokens)
     count, stride = -(-total // sequence), 2 * sequence
     shards = -(-count // per_shard)
+    # A task writes a range of shards: as many tasks as other shuffles have, more once a task
+    # would have to write more than TASK_SHARDS.
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    range_size = max(1, min(TASK_SHARDS, -(-shards // max(1, usual))))
+    kind = id_kind(documents)
+    as_id = int if kind == "long" else str
 
     samples = [bytes(r[0]) for r in tokens.select(F.substring("tokens", 1, SAMPLE_BYTES)).limit(SAMPLES).collect()]
     words = compression.train(samples, DICTIONARY_BYTES)
@@ -184,7 +203,7 @@ def write_shards(
                         piece()
                         number, at, parts, ids = q, lo % sequence, [], []
                     parts.append(data[2 * (lo - first) : 2 * (hi - first)])
-                    ids += [] if pd.isna(doc_id) else [int(doc_id)]
+                    ids += [] if doc_id is None else [as_id(doc_id)]
                 if len(rows) >= 2048:
                     yield placed()
                     rows = []
@@ -238,17 +257,19 @@ def write_shards(
 
     store, root = fs.FileSystem.from_uri(folder)
     store.create_dir(root, recursive=True)
-    pieces = tokens.join(checked(bases, 16), "part").mapInPandas(
-        cut, "shard long, slot long, number long, at int, doc_ids array<long>, piece binary"
+    pieces = tokens.join(checked(bases, 24), ["file", "first"]).mapInPandas(
+        cut, f"shard long, slot long, number long, at int, doc_ids array<{kind}>, piece binary"
     )
     path = scratch_path(spark, "manifest")
     manifest = (
-        pieces.repartitionById(max(1, shards), F.col("shard").cast("int"))
+        pieces.repartitionById(
+            max(1, -(-shards // range_size)), F.floor(F.col("shard") / range_size).cast("int")
+        )
         .sortWithinPartitions("slot", "at")
         .mapInPandas(
             write,
             "slot long, shard long, byte_offset long, sequence long, n_tokens int,"
-            " doc_ids array<long>, crc32 long",
+            f" doc_ids array<{kind}>, crc32 long",
         )
     )
     with small_batches(spark, 1024):
