@@ -1,5 +1,8 @@
+import math
+
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from .texts import prose
@@ -115,3 +118,67 @@ def test_equal_rows_score_the_same_in_batches_of_any_size():
             float(p) for n in range(1, 65) for p in compression.logistic(model, np.tile(row, (n, 1)))
         }
         assert len(scores) == 1
+
+
+def frame(dictionary, parameters, raw, piece):
+    """Compressed length of one piece, by a compressor of its own."""
+    settings = zstandard.ZstdCompressionParameters(
+        write_content_size=False, write_checksum=False, write_dict_id=False, **parameters
+    )
+    kind = zstandard.DICT_TYPE_RAWCONTENT if raw else zstandard.DICT_TYPE_AUTO
+    data = zstandard.ZstdCompressionDict(dictionary, dict_type=kind)
+    return len(zstandard.ZstdCompressor(compression_params=settings, dict_data=data).compress(piece))
+
+
+def probability(model, features):
+    total = model.calibration[2][-1]
+    for k, f in enumerate(features):
+        total += (f - model.calibration[0][k]) / model.calibration[1][k] * model.calibration[2][k]
+    return 1 / (1 + math.exp(-min(30.0, max(-30.0, total))))
+
+
+def quality_by_hand(text, model):
+    data = (text or "").encode()
+    good, bad, size = [], [], []
+    for k in range(0, len(data), quality.CHUNK_BYTES):
+        piece = data[k : k + quality.CHUNK_BYTES]
+        good.append(frame(model.good, quality.PARAMETERS, False, piece))
+        bad.append(frame(model.bad, quality.PARAMETERS, False, piece))
+        size.append(len(piece) + 8)
+    f = [0.0] * quality.FEATURES
+    if size:
+        d = [(a - b) / n for a, b, n in zip(good, bad, size)]
+        f = [
+            (sum(good) - sum(bad)) / sum(size), (sum(good) - sum(bad)) / (sum(good) + sum(bad)), sum(good) / sum(size),
+            max(d), min(d), min(a / n for a, n in zip(good, size)), math.log(sum(size)),
+        ]
+    return probability(model, [*f, *(x * x for x in f)])
+
+
+def toxicity_by_hand(text, model):
+    words = (text or "").lower().split()
+    saved = []
+    for k in range(0, len(words), toxicity.WINDOW_WORDS):
+        piece = (" " + " ".join(words[k : k + toxicity.WINDOW_WORDS]) + " ").encode()
+        plain = frame(model.background, toxicity.PARAMETERS, True, piece)
+        saved.append(plain - frame(model.toxic, toxicity.PARAMETERS, True, piece))
+    f = [0.0] * toxicity.FEATURES
+    if saved:
+        saved.sort()
+        n = len(saved)
+        shares = [min(most, sum(x >= least for x in saved) / n) for least, most in ((2, 0.5), (3, 0.3), (4, 0.3), (5, 0.3))]
+        second = max(-1, min(8, saved[-2])) if n > 1 else 0
+        mean = min(1, sum(max(0, min(8, x)) for x in saved) / n)
+        f = [max(-1, min(8, saved[-1])), second, min(6, sum(x >= 4 for x in saved)), math.log1p(n), *shares, mean]
+    return probability(model, [*f, *(max(0, f[0] - k) for k in (2, 3, 4)), min(0.5, f[-1])])
+
+
+@pytest.mark.parametrize("operator, label, by_hand", [(toxicity, "toxic", toxicity_by_hand), (quality, "quality", quality_by_hand)])
+def test_scores_equal_brute_force(spark, operator, label, by_hand):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = operator.fit(docs, labels, F.lit(True))
+    rows = operator.score(docs.filter("doc_id % 5 = 0"), model).collect()
+    assert len(rows) > 30
+    for row in rows:
+        assert abs(row["score"] - by_hand(row["text"], model)) < 1e-9

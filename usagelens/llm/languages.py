@@ -129,8 +129,8 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 def fit(documents: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, clusters: int = CLUSTERS) -> Model:
     """Centroids from the rows that ``learn`` admits and that have a text and a language.
 
-    At most ``per_language`` documents of a language, in the order of a hash of their id,
-    are clustered, each language in a task of its own. One count per language reaches the
+    At most ``per_language`` documents of a language, in the order of a hash of their id and
+    text, are clustered, each language in a task of its own. One count per language reaches the
     driver.
     """
     known = documents.filter(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
@@ -138,15 +138,15 @@ def fit(documents: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, c
     )
     frequency, n = document_frequencies(known)
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    # A hash of the id thins every language out before its first rows are ranked, so little
-    # text is shuffled whatever the size of the corpus.
+    # A hash thins every language out before its first rows are ranked, so little text is
+    # shuffled whatever the size of the corpus. Ids can repeat, so the text is hashed as well.
     counts = documents.filter(learn & F.col("lang").isNotNull()).groupBy("lang").count().collect()
     share = F.lit(0.0)
     for row in counts:
         share = F.when(
             F.col("lang") == row["lang"], F.lit(min(1.0, 1.5 * per_language / row["count"]))
         ).otherwise(share)
-    place = F.xxhash64("doc_id", F.lit("languages"))
+    place = F.xxhash64("doc_id", "text", F.lit("languages"))
     thin = F.pmod(place, F.lit(1_000_000)) < share * 1_000_000
     order = Window.partitionBy("lang").orderBy(place, "text")
     sample = stored(
