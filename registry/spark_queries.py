@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from usagelens.functions import naming, numeric, temporal, text
+from usagelens.functions import naming, temporal, text
 from usagelens.operators import checks, incremental, ordered
 from usagelens.plans import (
     access,

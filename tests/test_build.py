@@ -9,7 +9,7 @@ from usagelens.plans import build
 from usagelens.plans.model_checks import MODEL_CHECKS
 from usagelens.session import scratch_path
 from usagelens.sources import sample_logs as logs
-from usagelens.sources.sinks import overwrite_partitions, replace_keys
+from usagelens.sources.sinks import overwrite_partitions, partitions_holding, replace_keys
 
 from registry.spark_queries import QUERIES
 
@@ -88,6 +88,28 @@ def test_replace_keys_moves_and_empties_partitions(spark, rows):
     assert rows(spark.read.parquet(location), "id", "p", "v") == expected
 
 
+def test_key_search_opens_no_partition_of_the_table(spark, rows):
+    location = scratch_path(spark, "crm")
+    raw = logs.customer_events(spark, SAMPLE)
+    build.load_customer_events(spark, raw, location)
+    table = spark.read.parquet(location)
+    batch = spark.createDataFrame([("e3",), ("e500",), (None,)], "event_id string")
+    found = partitions_holding(spark, location, table, batch, ["event_id"], "event_day")
+    expected = table.where("event_id IN ('e3', 'e500')").select("event_day").distinct()
+    assert rows(found) == rows(expected) and 1 <= expected.count() <= 2
+    scans = [
+        line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line
+    ]
+    assert scans and all("PartitionFilters: [bucket#" in line or "), (bucket#" in line or "[isnotnull(bucket" in line for line in scans)
+    assert found.inputFiles() and all(f"{location}_keys/bucket=" in file for file in found.inputFiles())
+    buckets = {r.bucket for r in spark.read.parquet(f"{location}_keys").select("bucket").distinct().collect()}
+    assert len(buckets) == 32
+    # A table older than its index gets one.
+    bare = scratch_path(spark, "bare")
+    overwrite_partitions(table, bare, "event_day")
+    assert rows(partitions_holding(spark, bare, table, batch, ["event_id"], "event_day")) == rows(expected)
+
+
 def test_replace_keys_with_null_partition(spark, rows):
     location = scratch_path(spark, "nulls")
     shape = "id int, p string, v string"

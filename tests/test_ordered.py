@@ -96,8 +96,8 @@ def test_latest_by_key_limits_before_the_shuffle(spark):
 def test_pages_of_any_depth(spark):
     df = spark.range(95).withColumn("ts", F.col("id") % 7)
     everything = df.orderBy(F.desc("ts"), F.desc("id")).collect()
-    for number in range(10):
-        for slices in (1, 4, 30):
+    for number in (0, 3, 8, 9):
+        for slices in (1, 30):
             found, pages = ordered.page(df, ["ts", "id"], number, slices=slices)
             assert pages == 10 and found.collect() == everything[number * 10 : number * 10 + 10]
     rising, _ = ordered.page(df, ["ts", "id"], 2, descending=False, slices=7)

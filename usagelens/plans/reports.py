@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.functions.numeric import count_where, percentage, round_half_up
+from usagelens.functions.numeric import percentage, round_half_up
 from usagelens.functions.temporal import trunc_ts
 from usagelens.functions.text import blank_to, regexp_first
 from usagelens.operators.ordered import page as page_rows

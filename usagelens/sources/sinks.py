@@ -86,6 +86,59 @@ def table_or_none(spark: SparkSession, location: str, schema: T.StructType) -> D
     return None if table.isEmpty() else table
 
 
+# Buckets of the key index; a search reads those its keys fall into.
+KEY_BUCKETS = 32
+
+
+def _located(df: DataFrame, key: Sequence[str], part_col: str | None = None) -> DataFrame:
+    """Distinct (bucket, key_hash), and the partition, of the rows whose key has no NULL."""
+    digest = F.xxhash64(*key)
+    bucket = F.pmod(digest, F.lit(KEY_BUCKETS)).cast("int").alias("bucket")
+    rest = [] if part_col is None else [part_col]
+    return df.dropna(subset=list(key)).select(bucket, digest.alias("key_hash"), *rest).distinct()
+
+
+def _key_index(spark: SparkSession, location: str, target: DataFrame, key: Sequence[str], part_col: str) -> DataFrame:
+    """Where keys have been stored: (bucket, key_hash, partition), a table beside the target.
+
+    Built from the target where there is none yet. Entries are only ever added, so it may name
+    partitions a key has left, which costs a look into them, but it misses none.
+    """
+    path = f"{location.rstrip('/')}_keys"
+    if not path_exists(spark, path):
+        _note_keys(location, target, key, part_col)
+    kind = T.StructType.fromDDL("key_hash long, bucket int")
+    schema = T.StructType([kind["key_hash"], target.schema[part_col], kind["bucket"]])
+    return spark.read.schema(schema).parquet(path)
+
+
+def _note_keys(location: str, rows: DataFrame, key: Sequence[str], part_col: str) -> None:
+    entries = _located(rows, key, part_col).hint("rebalance", "bucket")
+    entries.write.mode("append").partitionBy("bucket").parquet(f"{location.rstrip('/')}_keys")
+
+
+def partitions_holding(
+    spark: SparkSession,
+    location: str,
+    target: DataFrame,
+    batch: DataFrame,
+    key: Sequence[str],
+    part_col: str,
+    since=None,
+) -> DataFrame:
+    """Partitions of ``target`` that may hold a key of ``batch``, from the key index alone.
+
+    Only the buckets of the batch's keys are read, and no partition of the target is.
+    """
+    wanted = _located(batch, key)
+    # At most KEY_BUCKETS values.
+    buckets = [row[0] for row in wanted.select("bucket").distinct().collect()]
+    index = _key_index(spark, location, target, key, part_col).where(F.col("bucket").isin(buckets))
+    if since is not None:
+        index = index.where(F.col(part_col) >= F.lit(since))
+    return index.join(wanted.drop("bucket"), "key_hash", "left_semi").select(part_col).distinct()
+
+
 def replace_keys(
     spark: SparkSession,
     location: str,
@@ -96,19 +149,19 @@ def replace_keys(
 ) -> list:
     """Delete the batch's keys from a partitioned table and insert the batch.
 
-    Only partitions that hold one of the keys, now or after, are rewritten; finding them
-    reads two narrow columns of the table, or of its partitions from ``since`` on when the
-    caller knows that no earlier one can hold a key of the batch. The new content is staged
-    before anything is replaced, so a write that dies half-way can be run again. Returns the
-    partition values rewritten.
+    Only partitions that hold one of the keys, now or after, are read and rewritten; an index
+    of key hashes names them, looked up from ``since`` on when the caller knows that no earlier
+    partition can hold a key of the batch. The new content is staged before anything is
+    replaced, and keys are noted before their rows are written, so a write that dies half-way
+    can be run again. Returns the partition values rewritten.
     """
     target = table_or_none(spark, location, batch.schema)
     if target is None:
+        _note_keys(location, batch, key, part_col)
         overwrite_partitions(batch, location, part_col)
         return []
     keys = batch.select(*key).distinct()
-    searched = target if since is None else target.where(F.col(part_col) >= F.lit(since))
-    holding = searched.select(*key, part_col).join(keys, list(key), "left_semi").select(part_col)
+    holding = partitions_holding(spark, location, target, batch, key, part_col, since)
     touched = [
         row[0] for row in holding.unionByName(batch.select(part_col)).distinct().collect()
     ]
@@ -120,6 +173,7 @@ def replace_keys(
     staged = scratch_path(spark, "replace-keys")
     overwrite_partitions(kept.unionByName(batch), staged, part_col)
     fresh = spark.read.schema(batch.schema).parquet(staged)
+    _note_keys(location, batch, key, part_col)
     overwrite_partitions(fresh, location, part_col)
     left = {row[0] for row in fresh.select(part_col).distinct().collect()}
     for value in touched:
