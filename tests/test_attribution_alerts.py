@@ -91,6 +91,33 @@ def test_query_tags_equal_all_pairs(spark):
         assert got[tag] == (found[0] if found else None), tag
 
 
+def test_patterns_that_share_a_long_literal(spark, monkeypatch):
+    """Rules of one team differ in how they end: a tag meets those of its own ending, not the team's."""
+    tags = spark.range(1000).selectExpr("concat('{\"team\":\"t1\"}/q', id) query_tag")
+    patterns = spark.range(1, 400).selectExpr("id rank", "concat('%\"team\":\"t1\"}/%', id) tag_pattern")
+    monkeypatch.setattr(attribution.F, "like", lambda text, pattern: attribution.F.lit(True))
+    compared = attribution._anchored(patterns, tags).count()
+    assert 399 <= compared <= 3 * 1000   # 399,000 with the team as anchor
+
+
+def test_query_tags_with_anchors_dealt_out(spark, monkeypatch):
+    """Neither patterns too many to send nor anchors that share a bucket change the result."""
+    rng = random.Random(5)
+    tags = sorted({"".join(rng.choice("ab/1") for _ in range(rng.randint(0, 9))) for _ in range(150)})
+    patterns = sorted({"".join(rng.choice(["a", "b1", "/", "%", "_"]) for _ in range(rng.randint(1, 5))) for _ in range(150)})
+    qh = spark.createDataFrame([(t, t) for t in tags], "query_id string, query_tag string")
+    config = spark.createDataFrame(
+        [(p, "D", "C", "p", True) for p in patterns],
+        "tag_pattern string, domain string, cost_center_code string, pipeline_name string, is_active boolean",
+    )
+    monkeypatch.setattr(attribution, "SENT", 20)
+    monkeypatch.setattr(attribution, "BUCKETS", 4)
+    got = {r.query_tag: r.tag_pattern for r in attribution.attribute_query_tags(qh, config).collect()}
+    for tag in tags:
+        found = sorted((p for p in patterns if like(p, tag)), key=lambda p: (-len(p), p))
+        assert got[tag] == (found[0] if found else None), tag
+
+
 def test_credit_quota(spark, rows):
     used = metering(spark, ("A", JAN, "6"), ("A", JAN + timedelta(hours=3), "5"), ("B", JAN, "10"))
     assert rows(alerts.alert_credit_quota(used, 10), "warehouse_name") == [("A",)]
