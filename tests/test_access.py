@@ -111,6 +111,21 @@ def test_effective_roles_with_cycle(spark, rows):
     assert got == [("U", "a"), ("U", "b"), ("U", "c"), ("U", "d"), ("V", "d")]
 
 
+def test_effective_roles_deal_users_before_keeping_rows(spark, rows, monkeypatch):
+    """No task hashes the rows of its scan; tasks are as many as rows need; null roles stay."""
+    edges = spark.createDataFrame([("a", "b"), ("b", "c")], "role string, inherits string")
+    pairs = [(f"U{i}", role) for i in range(40) for role in ("a", "b", "alone", "a")] + [("N", None)]
+    expected = sorted({(u, r) for u, _ in pairs[:-1] for r in ("a", "b", "c", "alone")} | {("N", None)}, key=repr)
+    monkeypatch.setattr(access, "ROWS_PER_TASK", 20, raising=False)
+    got = access.effective_roles(held(spark, *pairs), edges)
+    assert rows(got) == expected
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange hashpartitioning(user"):]
+    assert "hashpartitioning(user#" in plan and "HashAggregate" not in below.split("BroadcastExchange")[0]
+    # 40 users x (3 + 3 + 2 + 1) rows, and the one of N.
+    assert f", {-(-361 // 20)}), REPARTITION_BY_NUM" in plan
+
+
 def test_deep_chain(spark):
     edges = spark.createDataFrame([(f"r{i}", f"r{i + 1}") for i in range(12)], "role string, inherits string")
     assert access.effective_roles(held(spark, ("U", "r0")), edges).count() == 13

@@ -5,6 +5,7 @@ Nothing here executes a grant; operators emit rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
@@ -396,12 +397,31 @@ def role_closure(role_edges: DataFrame, held: DataFrame) -> DataFrame:
     return seen
 
 
+# Rows of a task that makes users' roles distinct.
+ROWS_PER_TASK = 1_500_000
+
+
 def effective_roles(user_roles: DataFrame, role_edges: DataFrame) -> DataFrame:
-    """Every role a user holds directly or through inheritance. Users come in last."""
-    direct = user_roles.select("user", "role").distinct()
-    closure = broadcast_if_small(role_closure(role_edges, direct))
-    inherited = direct.join(closure, "role").select("user", F.col("inherits").alias("role"))
-    return direct.unionByName(inherited).distinct()
+    """Every role a user holds directly or through inheritance. Users come in last.
+
+    They are dealt out before any of their rows is kept in memory, to as many tasks as the rows
+    that follow need: a scan task, however much it reads, passes its rows on.
+    """
+    spark = user_roles.sparkSession
+    ensure_checkpoint_dir(spark)
+    held = user_roles.groupBy("role").agg(F.count("*").alias("rows")).checkpoint()
+    itself = held.select("role", F.col("role").alias("inherits"))
+    # A cycle leads back to the role itself.
+    closure = role_closure(role_edges, held).unionByName(itself).distinct().checkpoint()
+    width = closure.groupBy("role").agg(F.count("*").alias("width"))
+    rows = F.sum(F.col("rows") * F.coalesce("width", F.lit(1)))
+    expected = held.join(width, "role", "left").agg(rows).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = user_roles.select("user", "role").repartition(
+        max(parts, math.ceil(expected / ROWS_PER_TASK)), "user"
+    )
+    inherited = dealt.join(broadcast_if_small(closure), "role", "left")
+    return inherited.select("user", F.coalesce("inherits", "role").alias("role")).distinct()
 
 
 def row_filter_by_country(df: DataFrame, column: str, roles: Iterable[str]) -> DataFrame:
